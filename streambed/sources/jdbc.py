@@ -1,0 +1,17 @@
+"""Snapshots of source tables over JDBC (the driver jar comes with the session)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_snapshot(
+    spark: SparkSession, url: str, table: str, pk: str, lower: int, upper: int, partitions: int, **options: str
+) -> DataFrame:
+    """One table read by ranges of its key, a connection per range."""
+    return (
+        spark.read.format("jdbc")
+        .options(url=url, dbtable=table, partitionColumn=pk, lowerBound=lower, upperBound=upper, **options)
+        .option("numPartitions", partitions)
+        .load()
+    )

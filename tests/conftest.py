@@ -1,0 +1,31 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def make_session():
+    from pyspark.sql import SparkSession
+
+    from streambed.session import prepare
+
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .appName("streambed-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return prepare(spark)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return make_session()

@@ -39,15 +39,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session (tests) without the setting gets one of its own; a cluster
     without it is an error, because a machine-local folder would not survive there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = os.path.join(tempfile.gettempdir(), "streambed-checkpoints")
-    spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(os.path.join(tempfile.gettempdir(), "streambed-checkpoints"))
+    return context.getCheckpointDir()
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

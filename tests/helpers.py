@@ -1,0 +1,61 @@
+"""Small hand-made tables."""
+
+from __future__ import annotations
+
+import json
+
+from streambed import schemas
+from streambed.functions import wire
+
+ROW = schemas.columns("id BIGINT, name STRING, amount MONEY")
+CHANGES = schemas.columns("id STRING, before STRING, after STRING, op STRING, ts_ms BIGINT, seq BIGINT")
+
+
+def image(key, name, amount=None):
+    fields = {"id": key, "name": name}
+    if amount is not None:
+        fields["amount"] = amount
+    return json.dumps(fields)
+
+
+def change(key, op, ts, seq=0, name=None):
+    """One bronze row; the row's name says which change it came from."""
+    after = None if op == "d" else image(key, name or f"{op}@{ts}")
+    before = json.dumps({"id": key}) if op in "ud" else None
+    return (str(key), before, after, op, ts, seq)
+
+
+def changes(spark, rows):
+    return spark.createDataFrame([r if len(r) == 6 else change(*r) for r in rows], CHANGES)
+
+
+def names(df):
+    """{id: [names]} of a row table."""
+    found = {}
+    for row in df.collect():
+        found.setdefault(row["id"], []).append(row["name"])
+    return {key: sorted(values, key=str) for key, values in found.items()}
+
+
+def rows(df):
+    columns = sorted(df.columns)
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def table(spark, schema, data):
+    return spark.createDataFrame(data, schema)
+
+
+def raw_messages(spark, texts, at="2024-03-05 23:59:59"):
+    """Framed messages; None is a tombstone and bytes are sent as they are."""
+    from pyspark.sql import functions as F
+
+    values = [
+        None if t is None else bytearray(t) if isinstance(t, bytes) else bytearray(bytes([0, 0, 0, 0, 9]) + t.encode())
+        for t in texts
+    ]
+    df = spark.createDataFrame([(v,) for v in values], schemas.columns("value BINARY"))
+    return df.withColumn("timestamp", F.lit(at).cast("timestamp"))
+
+
+assert wire.HEADER_BYTES == 5

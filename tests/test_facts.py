@@ -1,0 +1,107 @@
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from streambed import schemas
+from streambed.functions import business, text
+from streambed.plans import facts
+from tests.helpers import table
+
+DAY = 86400000
+
+
+def bill(key, amount="10.00", plan="monthly", status="paid", at=0):
+    return (key, 1, 1, Decimal(amount), plan, status, at)
+
+
+def payment(key, amount="10.00", status="SUCCESS", gateway="VNPay"):
+    return (f"t{key}", key, 1, gateway, Decimal(amount), Decimal("0.11"), None, status, "BIDV")
+
+
+def test_reconciliation_of_every_outcome(spark):
+    bills = table(
+        spark, schemas.BILLS,
+        [bill(1), bill(2), bill(3), bill(4, status="pending"), bill(5), bill(6, status="pending")],
+    )
+    paid = table(
+        spark, schemas.PAYMENTS,
+        [payment(1), payment(2, "11.00"), payment(3, status="REFUNDED"), payment(4), payment(9),
+         payment(5), payment(5, "9.00"), payment(None), payment(6, status="PENDING")],
+    )
+    got = facts.reconcile_payments(bills, paid)
+    found = sorted((r["bill_id"] or 0, r["outcome"]) for r in got.collect())
+    assert found == [
+        (0, "orphan_payment"), (1, "matched"), (2, "amount_mismatch"), (3, "status_mismatch"),
+        (4, "status_mismatch"), (5, "amount_mismatch"), (5, "matched"), (6, "matched"), (9, "orphan_payment"),
+    ]
+    none_paid = facts.reconcile_payments(bills, paid.limit(0))
+    assert {r["outcome"] for r in none_paid.collect()} == {"missing_payment"} and none_paid.count() == 6
+    totals = {(r["payment_gateway"], r["outcome"]): r["payments"] for r in facts.reconcile_summary(got).collect()}
+    assert totals[("VNPay", "matched")] == 3
+
+
+def test_payment_fields(spark):
+    bills = table(spark, schemas.BILLS, [bill(42, "150000.00", at=DAY), bill(1234567, status="pending")])
+    got = {
+        r["bill_id"]: r
+        for r in facts.partner_payments(
+            bills, gateway=F.lit("ViettelMoney"), bank=F.lit("BIDV"), refunded=F.lit(False)
+        ).collect()
+    }
+    assert got[42]["partner_trans_id"] == "VIE_19700102_000042" and got[42]["partner_fee"] == Decimal("1650.00")
+    assert got[1234567]["partner_trans_id"].endswith("_1234567") and got[1234567]["trans_status"] == "PENDING"
+
+
+def test_fee_rounds_half_up(spark):
+    df = spark.createDataFrame([(Decimal("50.00"),), (Decimal("0.45"),)], "a decimal(15,2)")
+    assert [r[0] for r in df.select(business.partner_fee(df["a"])).collect()] == [Decimal("0.55"), Decimal("0.00")]
+
+
+def test_renewals(spark):
+    bills = table(
+        spark, schemas.BILLS,
+        [bill(1), bill(2, plan="quarterly"), bill(3, plan="yearly"), bill(4, status="pending"), bill(5, at=200 * DAY)],
+    )
+    got = facts.subscription_renewals(bills, "1970-04-01").collect()
+    dates = {}
+    for r in sorted(got, key=lambda r: r["renewal_no"]):
+        dates.setdefault(r["first_bill_id"], []).append(r["renewal_date"])
+    assert dates == {1: ["1970-01-31", "1970-03-02", "1970-04-01"], 2: ["1970-04-01"]}
+
+
+def test_accents_and_spaces(spark):
+    df = spark.createDataFrame([("Nguyễn Văn Đạt ÝỸ ñ",)], "t string")
+    assert df.select(text.fold_accents(df["t"])).first()[0] == "nguyenvandatyyñ"
+    assert len(text.ACCENTED) == len(text.PLAIN) == len(set(text.ACCENTED))
+    assert df.select(text.email_address(F.lit("Lan Thị"), "example.com")).first()[0] == "lanthi@example.com"
+
+
+def test_log_rules(spark):
+    kinds = ["motion_detected", "human_detected", "heartbeat", "connection_lost", "stream_started", "sd_card_error"]
+    df = spark.createDataFrame([(k, 4) for k in kinds], "k string, n long")
+    got = df.select(
+        "k",
+        business.log_severity(F.col("k")).alias("s"),
+        business.log_error_code(F.col("k"), F.col("n")).alias("e"),
+        business.log_duration(F.col("k"), F.lit(33)).alias("d"),
+    )
+    assert {r["k"]: (r["s"], r["e"], r["d"]) for r in got.collect()} == {
+        "motion_detected": ("INFO", None, 33),
+        "human_detected": ("INFO", None, 33),
+        "heartbeat": ("INFO", None, 0),
+        "connection_lost": ("ERROR", "ERR_DHCP_FAILED", 0),
+        "stream_started": ("INFO", None, 0),
+        "sd_card_error": ("WARN", "ERR_SD_CARD_FULL", 0),
+    }
+
+
+def test_connection_errors_count_devices_once(spark):
+    logs = table(
+        spark, schemas.DEVICE_LOGS,
+        [(f"e{n}", n, device, "connection_lost", "ERROR", "v", "ip", 1, 1, 0, "ERR_DHCP_FAILED")
+         for n, device in enumerate([1, 1, 2, 3])]
+        + [("ok", 1, 1, "heartbeat", "INFO", "v", "ip", 1, 1, 0, None)],
+    )
+    devices = table(spark, schemas.DEVICES, [(1, "d", "cam", "online", 1, 0), (2, "d", "cam", "online", 1, 0)])
+    got = {r["device_type"]: (r["errors"], r["devices"]) for r in facts.connection_errors(logs, devices).collect()}
+    assert got == {"cam": (3, 2), "unknown": (1, 1)}

@@ -1,0 +1,125 @@
+import random
+from decimal import Decimal
+
+import pytest
+
+from streambed.operators import latest, silver
+from tests.helpers import ROW, change, changes, image, names, rows, table
+
+# (changes, names after the rebuild, names after the merge), per key.
+CASES = {
+    "re-insert after delete": ([(1, "c", 1), (1, "d", 2), (1, "c", 3)], [], ["c@3"]),
+    "replayed insert": ([(2, "c", 1), (2, "c", 1)], ["c@1", "c@1"], ["c@1"]),
+    "update without insert": ([(3, "u", 5), (3, "u", 6)], ["u@6"], ["u@6"]),
+    "delete only": ([(4, "d", 1)], [], []),
+    "unknown op": ([(5, "t", 1)], [], []),
+    "update older than insert": ([(6, "u", 1), (6, "c", 2)], ["u@1"], ["c@2"]),
+    "tie on time": ([(7, "u", 1, 1, "first"), (7, "u", 1, 2, "second")], ["second"], ["second"]),
+    "unknown op hides nothing": ([(10, "c", 1), (10, "t", 2)], ["c@1"], ["c@1"]),
+    "snapshot then update then delete": ([(11, "r", 1), (11, "u", 2), (11, "d", 3)], [], []),
+    "plain life": ([(12, "c", 1), (12, "u", 2), (12, "u", 3)], ["u@3"], ["u@3"]),
+}
+
+
+def merge(spark, *batches):
+    state = silver.empty_silver(spark, ROW)
+    for batch in batches:
+        state = silver.merge_changes(state, changes(spark, batch), ROW)
+    return state
+
+
+def all_changes():
+    return [c for log, _, _ in CASES.values() for c in log]
+
+
+def test_rebuild_of_every_case(spark):
+    want = {log[0][0]: result for log, result, _ in CASES.values() if result}
+    assert names(silver.crud_reconstruct(changes(spark, all_changes()), ROW)) == want
+
+
+def test_merge_of_every_case(spark):
+    want = {log[0][0]: result for log, _, result in CASES.values() if result}
+    assert names(silver.current_rows(merge(spark, all_changes()))) == want
+
+
+def test_stale_and_late_changes_are_ignored(spark):
+    state = merge(spark, [(8, "c", 9), (9, "d", 5)], [(8, "u", 3), (9, "u", 3)])
+    assert names(silver.current_rows(state)) == {8: ["c@9"]}
+
+
+def test_a_delete_hides_a_stored_row_and_a_newer_insert_brings_it_back(spark):
+    assert names(silver.current_rows(merge(spark, [(1, "c", 1)], [(1, "d", 2)]))) == {}
+    assert names(silver.current_rows(merge(spark, [(1, "c", 1)], [(1, "d", 2)], [(1, "c", 3)]))) == {1: ["c@3"]}
+
+
+def test_empty_changes_change_nothing(spark):
+    state = merge(spark, [(1, "c", 1), (2, "d", 1)])
+    assert rows(silver.merge_changes(state, changes(spark, []), ROW)) == rows(state)
+    assert silver.crud_reconstruct(changes(spark, []), ROW).count() == 0
+
+
+def test_before_image_and_unreadable_keys(spark):
+    log = [("1", image(1, "kept"), None, "u", 1, 0), ("x", None, "{bad", "c", 1, 0), (None, None, "{bad", "c", 1, 0)]
+    state = silver.merge_changes(silver.empty_silver(spark, ROW), changes(spark, log), ROW)
+    assert names(silver.current_rows(state)) == {1: ["kept"]}
+
+
+def test_money_is_exact(spark):
+    log = [("1", None, '{"id":1,"name":"n","amount":9999999999999.99}', "c", 1, 0)]
+    state = silver.merge_changes(silver.empty_silver(spark, ROW), changes(spark, log), ROW)
+    assert state.first()["amount"] == Decimal("9999999999999.99")
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_batches_may_be_split_repeated_and_reordered(spark, seed):
+    rng = random.Random(seed)
+    log = [
+        change(rng.randint(1, 12), rng.choice("crudt"), rng.randint(1, 6), seq, f"n{seq}") for seq in range(60)
+    ]
+    want = rows(merge(spark, log))
+    assert rows(merge(spark, log, log)) == want
+    cut = sorted(rng.sample(range(60), 2))
+    parts = [log[: cut[0]], log[cut[0] : cut[1]], log[cut[1] :]]
+    rng.shuffle(parts)
+    assert rows(merge(spark, *parts)) == want
+    newest = {}
+    for row in sorted((r for r in log if r[3] != "t"), key=lambda r: (r[4], r[5])):
+        newest[int(row[0])] = row
+    live = {k: [f"n{r[5]}"] for k, r in newest.items() if r[3] != "d"}
+    assert names(silver.current_rows(merge(spark, log))) == live
+
+
+def test_rebuild_and_merge_agree_on_a_clean_log(spark):
+    rng = random.Random(7)
+    log = []
+    for key in range(1, 15):
+        log.append(change(key, rng.choice("cr"), 1, 0))
+        log += [change(key, "u", 2 + n, n) for n in range(rng.randint(0, 4))]
+    rng.shuffle(log)
+    assert rows(silver.crud_reconstruct(changes(spark, log), ROW)) == rows(silver.current_rows(merge(spark, log)))
+
+
+def test_both_forms_of_latest_agree(spark):
+    rng = random.Random(3)
+    log = changes(spark, [change(rng.randint(1, 9), "u", rng.randint(1, 4), seq) for seq in range(80)])
+    assert rows(latest.latest_per_key(log, "id")) == rows(latest.latest_per_key_agg(log, "id"))
+
+
+def test_replica_ignores_deletes(spark):
+    target = table(spark, ROW, [(1, "old", None), (2, "old", None)])
+    log = changes(spark, [(1, "u", 1), (1, "d", 2), (3, "c", 1), (4, "d", 1)])
+    got = names(silver.replica_upsert(target, log, ROW))
+    assert got == {1: ["u@1"], 2: ["old"], 3: ["c@1"]}
+
+
+def test_insert_if_absent_keeps_the_stored_row_and_the_first_new_one(spark):
+    target = table(spark, ROW, [(1, "old", None)])
+    new = table(spark, ROW, [(1, "new", None), (2, "b", None), (2, "a", None)])
+    assert names(silver.insert_if_absent(target, new, "id", ("name",))) == {1: ["old"], 2: ["a"]}
+
+
+def test_evolve_adds_columns(spark):
+    old = spark.createDataFrame([(1,)], "id long")
+    new = spark.createDataFrame([(2, "x")], "id long, extra string")
+    got = {r["id"]: r["extra"] for r in silver.evolve(old, new).collect()}
+    assert got == {1: None, 2: "x"}

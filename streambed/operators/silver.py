@@ -41,20 +41,27 @@ def latest_update(bronze: DataFrame, pk: str = "id", order: tuple[str, ...] = NE
     return latest_per_key(changelog.updates(bronze), pk, order)
 
 
+def keys_with(bronze: DataFrame, pk: str, *ops: str) -> DataFrame:
+    """The keys that have a change of these ops, for an anti join.
+
+    They are made distinct per key and op, so the join shuffles them once more by the key alone.
+    That small shuffle is what lets Spark split a hot key on the join's other side: it can only
+    do so where both sides come straight from a shuffle of the join's own.
+    """
+    return bronze.where(F.col("op").isin(*ops)).select(pk, "op").distinct().select(pk)
+
+
 def inserts_without_update(bronze: DataFrame, pk: str = "id") -> DataFrame:
     """Insert rows of the keys that were never updated."""
-    updated = changelog.updates(bronze).select(pk).distinct()
-    return changelog.inserts(bronze).join(updated, pk, "left_anti")
+    return changelog.inserts(bronze).join(keys_with(bronze, pk, "u"), pk, "left_anti")
 
 
 def crud_changes(bronze: DataFrame, pk: str = "id", order: tuple[str, ...] = NEWEST) -> DataFrame:
-    """The change rows a rebuild keeps.
-
-    Inserts go through one anti join, against the keys with an update or a delete; the keys are
-    distinct, so the join never widens and its left side can be split when a key is hot.
-    """
-    superseded = bronze.where(F.col("op").isin("u", changelog.DELETE_OP)).select(pk).distinct()
-    deleted = changelog.deletes(bronze).select(pk).distinct()
+    """The change rows a rebuild keeps: inserts of the keys with neither update nor delete, and
+    the latest update of the keys without delete. Replayed inserts all stay, so an insert's key
+    may be hot."""
+    superseded = keys_with(bronze, pk, "u", changelog.DELETE_OP)
+    deleted = keys_with(bronze, pk, changelog.DELETE_OP)
     kept_inserts = changelog.inserts(bronze).join(superseded, pk, "left_anti")
     kept_updates = latest_update(bronze, pk, order).join(deleted, pk, "left_anti")
     return changelog.union_changes(kept_inserts, kept_updates)

@@ -24,31 +24,37 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type names and the DuckDB types that hold the same values.
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def spark_rows(df) -> list[tuple]:
     names = sorted(df.columns)
     return sorted((tuple(row) for row in df.select(*names).collect()), key=repr)
 
 
-def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
+def duck_rows(con, sql: str) -> tuple[dict[str, str], list[tuple]]:
+    """Column types by name, and the rows with their columns sorted by name."""
     cursor = con.execute(sql)
-    names = [d[0] for d in cursor.description]
-    order = sorted(range(len(names)), key=lambda i: names[i])
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    order = sorted(range(len(types)), key=lambda i: list(types)[i])
     rows = [tuple(row[i] for i in order) for row in cursor.fetchall()]
-    return [names[i] for i in order], sorted(rows, key=repr)
+    return types, sorted(rows, key=repr)
 
 
 def difference(spark, con, sf_dir: str, query, sql: str) -> str | None:
     df = query(spark, sf_dir)
-    got, (names, want) = spark_rows(df), duck_rows(con, sql)
-    if sorted(df.columns) != names:
-        return f"columns {sorted(df.columns)} != {names}"
+    got, (types, want) = spark_rows(df), duck_rows(con, sql)
+    mine = {name: SAME_TYPE[kind] for name, kind in df.dtypes}
+    if mine != types:
+        return f"columns {sorted(set(mine.items()) ^ set(types.items()))} differ"
     if not want:
         return "the expected result is empty"
     if len(got) != len(want):
         return f"{len(got)} rows, expected {len(want)}"
     for a, b in zip(got, want):
         if repr(a) != repr(b):
-            return f"{names}: {a!r} != {b!r}"
+            return f"{sorted(types)}: {a!r} != {b!r}"
     return None
 
 

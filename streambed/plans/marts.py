@@ -66,11 +66,9 @@ def device_counts(devices: DataFrame) -> DataFrame:
 
 
 def paid_amount() -> Column:
-    """Sum of the paid bills; other bills count as nothing."""
-    return F.coalesce(
-        F.sum(F.when(F.col("bill_status") == "paid", F.col("amount")).otherwise(F.lit(0).cast(MONEY))),
-        F.lit(0).cast(MONEY),
-    )
+    """Sum of the paid bills, 0 where none is paid."""
+    paid = F.when(F.col("bill_status") == "paid", F.col("amount"))
+    return F.coalesce(F.sum(paid), F.lit(0).cast(MONEY))
 
 
 def bill_totals(bills: DataFrame) -> DataFrame:

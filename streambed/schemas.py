@@ -10,10 +10,12 @@ TYPES = {
     "BIGINT": T.LongType(),
     "INT": T.IntegerType(),
     "FLOAT": T.FloatType(),
+    "DOUBLE": T.DoubleType(),
     "BOOLEAN": T.BooleanType(),
     "BINARY": T.BinaryType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "MONEY": T.DecimalType(15, 2),
     "BILL_MONEY": T.DecimalType(12, 2),
 }

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The largest epoch milliseconds a timestamp's microseconds can hold.
+MAX_MILLIS = 9223372036854775
+
 
 def as_timestamp(column: Column) -> Column:
     """A zoned timestamp, which watermarks and epoch functions need, from any timestamp type."""
@@ -17,11 +20,12 @@ def to_millis(column: Column) -> Column:
 
 
 def from_millis(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
+    """Null for a number too large to be a time, which log files may hold."""
+    return F.when(ms.between(-MAX_MILLIS, MAX_MILLIS), F.timestamp_millis(ms))
 
 
 def day_of_millis(ms: Column) -> Column:
-    return F.to_date(F.timestamp_millis(ms))
+    return F.to_date(from_millis(ms))
 
 
 def epoch_text(moment: Column) -> Column:

@@ -21,7 +21,7 @@ def frame_schema_id(value: Column) -> Column:
     """Schema id of a whole frame, null for a short one."""
     return F.when(
         F.length(value) >= HEADER_BYTES,
-        F.conv(F.hex(F.substring(value, F.lit(2), F.lit(4))), 16, 10).cast("int"),
+        F.conv(F.hex(F.substring(value, F.lit(2), F.lit(4))), 16, 10).try_cast("int"),
     )
 
 

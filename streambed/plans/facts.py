@@ -135,7 +135,7 @@ def connection_errors(logs: DataFrame, devices: DataFrame) -> DataFrame:
     per_device = (
         logs.where(F.col("error_code").isNotNull())
         .groupBy(
-            moments.day_of_millis(F.col("timestamp")).cast("string").alias("event_date"),
+            moments.day_of_millis(F.col("timestamp")).alias("event_date"),
             "event_type",
             "error_code",
             "device_id",
@@ -149,6 +149,7 @@ def connection_errors(logs: DataFrame, devices: DataFrame) -> DataFrame:
             F.sum("n").alias("errors"),
             F.count("device_id").alias("devices"),
         )
+        .withColumn("event_date", F.col("event_date").cast("string"))
     )
 
 

@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from streambed import schemas
-from streambed.operators import changelog, contract
+from streambed.operators import changelog, contract, latest
 from streambed.plans import marts
 from streambed.session import build_session
 from streambed.sinks.files import export_mart
@@ -24,22 +24,34 @@ from streambed.streaming.supervise import for_each_table, supervise
 
 log = logging.getLogger(__name__)
 
+# The sort keys of the exported marts.
+MART_KEYS = {
+    "user_360": ["user_id"],
+    "device_performance": ["device_type", "device_id"],
+    "daily_executive_kpi": ["report_date"],
+}
+
 
 def silver_table(root: str, name: str) -> SilverTable:
     return SilverTable(f"{root}/silver/{name}", schemas.TABLES[name])
 
 
 def run_bronze(
-    spark: SparkSession, root: str, servers: str, prefix: str, avro_schemas: dict[str, str] | None = None,
+    spark: SparkSession,
+    root: str,
+    servers: str,
+    prefix: str,
+    avro_schemas: dict[str, str] | None = None,
     trigger: dict | None = None,
+    max_offsets: int | None = None,
 ) -> dict:
     """One stream per table, under supervision. ``avro_schemas`` maps a table to its Avro schema
-    text; a table without one carries JSON envelopes."""
+    text; a table without one carries JSON envelopes. ``max_offsets`` bounds a micro-batch."""
 
     def start(name: str):
         avro = (avro_schemas or {}).get(name)
         decode = changelog.avro_envelope(avro) if avro else changelog.json_envelope(schemas.TABLES[name])
-        raw = topics.kafka_topic(spark, servers, f"{prefix}.{name}")
+        raw = topics.kafka_topic(spark, servers, f"{prefix}.{name}", max_offsets)
         paths = f"{root}/bronze/{name}", f"{root}/checkpoints/bronze_{name}"
         return start_bronze(raw, decode, *paths, name=f"stream_{name}", trigger=trigger)
 
@@ -48,18 +60,19 @@ def run_bronze(
     return failures
 
 
-def run_silver(spark: SparkSession, root: str, continuous: bool = False) -> dict:
+def run_silver(spark: SparkSession, root: str, continuous: bool = False, max_files: int | None = None) -> dict:
     """Merge what bronze received since the last run into silver, table by table.
 
     The file stream's checkpoint knows which bronze files are done, so a run reads the new
-    ones only, including late records that went to the folder of an older day.
+    ones only, including late records that went to the folder of an older day. ``max_files``
+    bounds a merge, so that the first run over a long history goes in several.
     """
 
     def start(name: str):
         path = f"{root}/bronze/{name}"
         if not lake.table_exists(spark, path):
             raise lake.MissingTable(path)
-        bronze = topics.file_stream(spark, path, schemas.BRONZE)
+        bronze = topics.file_stream(spark, path, schemas.BRONZE, max_files)
         trigger = EVERY_TEN_MINUTES if continuous else ALL_AVAILABLE
         checkpoint = f"{root}/checkpoints/silver_{name}"
         query = start_silver(bronze, silver_table(root, name), checkpoint, f"silver_{name}", trigger)
@@ -100,6 +113,17 @@ def run_gold(
     }
 
 
+def read_gold(spark: SparkSession, root: str, name: str, fmt: str = "json") -> DataFrame:
+    """An exported mart as its target keeps it: of all runs, one row per key, the newest run's.
+
+    Rows of one run that share a key (a device's bills) are told apart by their other columns,
+    so the row that stays does not depend on chance.
+    """
+    exported = spark.read.schema(schemas.MARTS[name]).format(fmt).load(f"{root}/gold/{name}")
+    others = [c for c in exported.columns if c not in (*MART_KEYS[name], "updated_at")]
+    return latest.keep_latest(exported, MART_KEYS[name], "updated_at", *others)
+
+
 def run_check(spark: SparkSession, root: str, layer: str = "silver") -> dict:
     """Show what the tables of a layer hold."""
 
@@ -126,6 +150,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--servers", default="localhost:9092", help="bronze: bootstrap servers")
     parser.add_argument("--prefix", default="cdc_data.public", help="bronze: topic name before the table")
     parser.add_argument("--avro-schema", action="append", default=[], metavar="TABLE=FILE", help="bronze")
+    parser.add_argument("--max-offsets", type=int, help="bronze: most messages per micro-batch and table")
+    parser.add_argument("--max-files", type=int, help="silver: most bronze files per merge")
     parser.add_argument("--continuous", action="store_true", help="silver: keep merging every ten minutes")
     parser.add_argument("--report-date", default=date.today().isoformat(), help="gold")
     parser.add_argument("--layer", choices=["bronze", "silver"], default="silver", help="check")
@@ -138,9 +164,9 @@ def main(argv: list[str] | None = None) -> None:
             table, _, file = entry.partition("=")
             with open(file, encoding="utf-8") as handle:
                 avro[table] = handle.read()
-        run_bronze(spark, args.root, args.servers, args.prefix, avro)
+        run_bronze(spark, args.root, args.servers, args.prefix, avro, max_offsets=args.max_offsets)
     elif args.job == "silver":
-        run_silver(spark, args.root, args.continuous)
+        run_silver(spark, args.root, args.continuous, args.max_files)
     elif args.job == "gold":
         print(run_gold(spark, args.root, args.report_date))
     else:

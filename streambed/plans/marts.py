@@ -218,7 +218,7 @@ def device_status_counts(devices: DataFrame) -> DataFrame:
 
 def monthly_revenue(bills: DataFrame) -> DataFrame:
     """Paid revenue, bills and billed devices by month and plan."""
-    month = F.date_format(moments.from_millis(F.col("billed_at")), "yyyy-MM")
+    month = F.trunc(moments.day_of_millis(F.col("billed_at")), "month")
     return (
         bill_columns(bills)
         .groupBy(month.alias("month"), "plan_type")
@@ -228,6 +228,7 @@ def monthly_revenue(bills: DataFrame) -> DataFrame:
             F.count_if(F.col("bill_status") == "paid").alias("paid_bills"),
             F.count_distinct("bill_device_id").alias("devices"),
         )
+        .withColumn("month", F.date_format("month", "yyyy-MM"))
     )
 
 
@@ -235,6 +236,7 @@ def bills_by_day(bills: DataFrame) -> DataFrame:
     """Bills by calendar day."""
     return (
         bill_columns(bills)
-        .groupBy(moments.day_of_millis(F.col("billed_at")).cast("string").alias("bill_date"))
+        .groupBy(moments.day_of_millis(F.col("billed_at")).alias("bill_date"))
         .agg(F.count(F.lit(1)).alias("bills"), F.sum("amount").cast("double").alias("amount"))
+        .withColumn("bill_date", F.col("bill_date").cast("string"))
     )

@@ -31,17 +31,20 @@ def test_delete_takes_its_id_from_before(spark):
 
 
 def test_bad_and_short_messages_are_kept_and_can_be_quarantined(spark):
-    texts = [envelope(1, name="a"), "{bad", b"\x00\x01"]
+    broken = b"\x00\xff\xff\xff\xff\xfe\xff"
+    texts = [envelope(1, name="a"), "{bad", b"\x00\x01", broken]
     got = bronze(spark, texts)
-    assert got.count() == 3 and got.where("op IS NULL").count() == 2
+    assert got.count() == 4 and got.where("op IS NULL").count() == 3
     aside = changelog.quarantine(raw_messages(spark, texts), changelog.json_envelope(ROW)).collect()
-    assert sorted(bytes(r["value"]) for r in aside) == [b"\x00\x00\x00\x00\x09{bad", b"\x00\x01"]
+    assert sorted(bytes(r["value"]) for r in aside) == [b"\x00\x00\x00\x00\x09{bad", b"\x00\x01", broken]
 
 
 def test_frame_parts(spark):
     df = raw_messages(spark, ["{}", b"\x00\x00"])
     got = df.select(wire.frame_schema_id(F.col("value")).alias("s"), wire.frame_payload(F.col("value")).alias("p"))
     assert [(r["s"], bytes(r["p"])) for r in got.collect()] == [(9, b"{}"), (None, b"")]
+    odd = raw_messages(spark, [b"\x00\xff\xff\xff\xff"])
+    assert odd.select(wire.frame_schema_id(F.col("value"))).first()[0] is None
     framed = df.limit(1).select(wire.frame(70000, F.lit("x")).alias("v")).select(wire.frame_schema_id(F.col("v")))
     assert framed.first()[0] == 70000
 

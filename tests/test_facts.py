@@ -105,3 +105,9 @@ def test_connection_errors_count_devices_once(spark):
     devices = table(spark, schemas.DEVICES, [(1, "d", "cam", "online", 1, 0), (2, "d", "cam", "online", 1, 0)])
     got = {r["device_type"]: (r["errors"], r["devices"]) for r in facts.connection_errors(logs, devices).collect()}
     assert got == {"cam": (3, 2), "unknown": (1, 1)}
+
+
+def test_a_log_with_an_impossible_time_is_kept(spark):
+    logs = table(spark, schemas.DEVICE_LOGS, [("e", 2**62, 1, "heartbeat", "INFO", "v", "ip", 1, 1, 0, None)])
+    row = facts.device_logs_fact(logs).first()
+    assert row["event_id"] == "e" and row["event_time"] is None

@@ -53,10 +53,19 @@ def test_bronze_silver_gold(spark, tmp_path, monkeypatch, capsys):
     assert (got[1]["user_name"], got[1]["vip_tier"], float(got[1]["total_spent"])) == ("O'Brien", "GOLD", 600000.5)
     assert got[2]["vip_tier"] == "STANDARD"
 
+    jobs.run_gold(spark, root, "2024-01-01", "2024-01-01 06:00:00")
+    assert spark.read.json(f"{root}/gold/user_360").count() == 4
+    kept = jobs.read_gold(spark, root, "user_360").collect()
+    assert sorted((r["user_id"], r["updated_at"]) for r in kept) == [
+        (1, "2024-01-01 06:00:00"), (2, "2024-01-01 06:00:00"),
+    ]
+    assert jobs.read_gold(spark, root, "daily_executive_kpi").count() == 1
+    assert jobs.read_gold(spark, root, "device_performance").count() == 1
+
     send(spark, root, "users", {"id": 2}, "d", 5)
     send(spark, root, "users", {**DATA["users"][0], "name": "new"}, "u", 6)
     ingest(spark, root, monkeypatch)
-    jobs.run_silver(spark, root)
+    jobs.run_silver(spark, root, max_files=1)
     jobs.run_silver(spark, root)
     live = jobs.read_silver(spark, root, "users")
     assert [(r["id"], r["name"]) for r in live.collect()] == [(1, "new")]

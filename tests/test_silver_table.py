@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from streambed import schemas
 from streambed.sinks import silver_table as st
 from streambed.operators import silver
 from tests.helpers import ROW, changes, names, rows
@@ -79,3 +80,13 @@ def test_bucket_count_is_fixed(spark, tmp_path):
     st.apply_changes(spark, make(tmp_path, 4), changes(spark, [(1, "c", 1)]), "a")
     with pytest.raises(ValueError, match="4 buckets"):
         st.apply_changes(spark, make(tmp_path, 8), changes(spark, [(1, "c", 1)]), "b")
+
+
+def test_a_column_added_to_the_schema_is_null_in_older_rows(spark, tmp_path):
+    table = make(tmp_path)
+    st.apply_changes(spark, table, changes(spark, [(1, "c", 1), (2, "c", 1)]), "a")
+    wider = schemas.columns("id BIGINT, name STRING, amount MONEY, note STRING")
+    evolved = st.SilverTable(table.path, wider, buckets=4)
+    log = [("2", None, '{"id":2,"name":"n","note":"new"}', "u", 2, 0)]
+    st.apply_changes(spark, evolved, changes(spark, log), "b")
+    assert {r["id"]: r["note"] for r in st.read_current(spark, evolved).collect()} == {1: None, 2: "new"}

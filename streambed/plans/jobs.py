@@ -24,6 +24,9 @@ from streambed.streaming.supervise import for_each_table, supervise
 
 log = logging.getLogger(__name__)
 
+# Folders per silver table unless the first run says otherwise; a bucket should hold about a gigabyte.
+BUCKETS = 64
+
 # The sort keys of the exported marts.
 MART_KEYS = {
     "user_360": ["user_id"],
@@ -32,8 +35,8 @@ MART_KEYS = {
 }
 
 
-def silver_table(root: str, name: str) -> SilverTable:
-    return SilverTable(f"{root}/silver/{name}", schemas.TABLES[name])
+def silver_table(root: str, name: str, buckets: int = BUCKETS) -> SilverTable:
+    return SilverTable(f"{root}/silver/{name}", schemas.TABLES[name], buckets=buckets)
 
 
 def run_bronze(
@@ -60,12 +63,19 @@ def run_bronze(
     return failures
 
 
-def run_silver(spark: SparkSession, root: str, continuous: bool = False, max_files: int | None = None) -> dict:
+def run_silver(
+    spark: SparkSession,
+    root: str,
+    continuous: bool = False,
+    max_files: int | None = None,
+    buckets: int = BUCKETS,
+) -> dict:
     """Merge what bronze received since the last run into silver, table by table.
 
     The file stream's checkpoint knows which bronze files are done, so a run reads the new
     ones only, including late records that went to the folder of an older day. ``max_files``
-    bounds a merge, so that the first run over a long history goes in several.
+    bounds a merge, so that the first run over a long history goes in several. ``buckets`` is
+    fixed by a table's first run.
     """
 
     def start(name: str):
@@ -75,7 +85,7 @@ def run_silver(spark: SparkSession, root: str, continuous: bool = False, max_fil
         bronze = topics.file_stream(spark, path, schemas.BRONZE, max_files)
         trigger = EVERY_TEN_MINUTES if continuous else ALL_AVAILABLE
         checkpoint = f"{root}/checkpoints/silver_{name}"
-        query = start_silver(bronze, silver_table(root, name), checkpoint, f"silver_{name}", trigger)
+        query = start_silver(bronze, silver_table(root, name, buckets), checkpoint, f"silver_{name}", trigger)
         if not continuous:
             query.awaitTermination()
         return query
@@ -152,6 +162,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--avro-schema", action="append", default=[], metavar="TABLE=FILE", help="bronze")
     parser.add_argument("--max-offsets", type=int, help="bronze: most messages per micro-batch and table")
     parser.add_argument("--max-files", type=int, help="silver: most bronze files per merge")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="silver: folders per table, fixed at first")
     parser.add_argument("--continuous", action="store_true", help="silver: keep merging every ten minutes")
     parser.add_argument("--report-date", default=date.today().isoformat(), help="gold")
     parser.add_argument("--layer", choices=["bronze", "silver"], default="silver", help="check")
@@ -166,7 +177,7 @@ def main(argv: list[str] | None = None) -> None:
                 avro[table] = handle.read()
         run_bronze(spark, args.root, args.servers, args.prefix, avro, max_offsets=args.max_offsets)
     elif args.job == "silver":
-        run_silver(spark, args.root, args.continuous, args.max_files)
+        run_silver(spark, args.root, args.continuous, args.max_files, args.buckets)
     elif args.job == "gold":
         print(run_gold(spark, args.root, args.report_date))
     else:

@@ -311,7 +311,7 @@ def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written without a column, appended to with it, and read with the schemas merged."""
     root = run_folder(spark, "schema_evolve")
     views.customer_users(spark, sf_dir).write.parquet(f"{root}/users")
-    with_nation = views.supplier_users(spark, sf_dir, F.col("s_nationkey").cast("string").alias("nation"))
+    with_nation = views.supplier_users(spark, sf_dir, "CAST(s_nationkey AS STRING) AS nation")
     with_nation.write.mode("append").parquet(f"{root}/users")
     return lake.read_table(spark, f"{root}/users", mergeSchema="true").select("id", "name", "email", "nation")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streambed import schemas
@@ -64,31 +64,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(15,2)")
+def millis(column: str) -> str:
+    return f"unix_millis(CAST({column} AS TIMESTAMP))"
 
 
-def email(column: str) -> Column:
-    return F.concat(F.lower(F.replace(F.col(column), F.lit("#"), F.lit("_"))), F.lit("@example.com"))
+def account(key: str, name: str) -> list[str]:
+    return [
+        f"{key} AS id",
+        f"{name} AS name",
+        f"lower(replace({name}, '#', '_')) || '@example.com' AS email",
+        f"{USERS_UPDATED_AT} AS updated_at",
+    ]
 
 
 def customer_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("name"),
-        email("c_name").alias("email"),
-        F.lit(USERS_UPDATED_AT).alias("updated_at"),
-    )
+    return table(spark, sf_dir, "customer").selectExpr(*account("c_custkey", "c_name"))
 
 
-def supplier_users(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
-        (F.col("s_suppkey") + SUPPLIER_IDS).alias("id"),
-        F.col("s_name").alias("name"),
-        email("s_name").alias("email"),
-        F.lit(USERS_UPDATED_AT).alias("updated_at"),
-        *extra,
-    )
+def supplier_users(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    named = account(f"s_suppkey + {SUPPLIER_IDS}", "s_name")
+    return table(spark, sf_dir, "supplier").selectExpr(*named, *extra)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,49 +94,45 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders; urgent ones have no owner, low-priority ones an owner that is not a user,
     and those of status P no status."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.concat(F.lit("Device "), F.col("o_orderkey").cast("string")).alias("name"),
-        F.col("o_orderpriority").alias("device_type"),
-        F.when(F.col("o_orderstatus") == "O", "online").when(F.col("o_orderstatus") == "F", "offline").alias("status"),
-        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_custkey") + UNKNOWN_OWNERS)
-        .when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey"))
-        .alias("owner_id"),
-        moments.to_millis(F.col("o_orderdate")).alias("updated_at"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "'Device ' || CAST(o_orderkey AS STRING) AS name",
+        "o_orderpriority AS device_type",
+        "CASE o_orderstatus WHEN 'O' THEN 'online' WHEN 'F' THEN 'offline' END AS status",
+        f"""CASE WHEN o_orderpriority = '5-LOW' THEN o_custkey + {UNKNOWN_OWNERS}
+                 WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS owner_id""",
+        f"{millis('o_orderdate')} AS updated_at",
     )
 
 
-def plan_of_flag(flag: Column) -> Column:
-    return F.when(flag == "A", "monthly").when(flag == "N", "quarterly").otherwise("yearly")
+PLAN_OF_FLAG = "CASE l_returnflag WHEN 'A' THEN 'monthly' WHEN 'N' THEN 'quarterly' ELSE 'yearly' END"
+PAID_LINE = "CASE WHEN l_linestatus = 'F' THEN 'paid' ELSE 'pending' END"
 
 
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items. The part is the user, so that some bills belong to users that do not exist."""
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.col("l_partkey").alias("user_id"),
-        F.col("l_orderkey").alias("device_id"),
-        money("l_extendedprice").alias("amount"),
-        plan_of_flag(F.col("l_returnflag")).alias("plan_type"),
-        F.when(F.col("l_linestatus") == "F", "paid").otherwise("pending").alias("status"),
-        moments.to_millis(F.col("l_shipdate")).alias("updated_at"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id",
+        "l_partkey AS user_id",
+        "l_orderkey AS device_id",
+        "CAST(l_extendedprice AS DECIMAL(15,2)) AS amount",
+        f"{PLAN_OF_FLAG} AS plan_type",
+        f"{PAID_LINE} AS status",
+        f"{millis('l_shipdate')} AS updated_at",
     )
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bills with a unique id."""
-    priority = F.col("o_orderpriority")
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderkey").alias("device_id"),
-        money("o_totalprice").alias("amount"),
-        F.when(priority.isin("1-URGENT", "2-HIGH"), "monthly")
-        .when(priority == "3-MEDIUM", "quarterly")
-        .otherwise("yearly")
-        .alias("plan_type"),
-        F.when(F.col("o_orderstatus") == "F", "paid").otherwise("pending").alias("status"),
-        moments.to_millis(F.col("o_orderdate")).alias("updated_at"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "o_custkey AS user_id",
+        "o_orderkey AS device_id",
+        "CAST(o_totalprice AS DECIMAL(15,2)) AS amount",
+        """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'monthly'
+                WHEN o_orderpriority = '3-MEDIUM' THEN 'quarterly' ELSE 'yearly' END AS plan_type""",
+        "CASE WHEN o_orderstatus = 'F' THEN 'paid' ELSE 'pending' END AS status",
+        f"{millis('o_orderdate')} AS updated_at",
     )
 
 
@@ -161,86 +152,76 @@ def payments_of(invoiced: DataFrame) -> DataFrame:
     )
 
 
-def bill_images(
-    pk: Column, user: Column, device: Column, amount: Column, plan: Column, status: Column, at: Column
-) -> Column:
-    values = [pk, user, device, amount, plan, status, at]
-    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, schemas.BILLS.fields)])
-
-
-def envelopes(df: DataFrame, key: Column, image: Column, op: Column, at: Column, seq: Column) -> DataFrame:
-    """Change envelopes: deletes have a before-image with the key only, and no after-image."""
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.BILLS.fields if f.name != "id"]
-    key_only = F.struct(key.cast("long").alias("id"), *nulls)
-    return df.select(
-        F.when(op.isin("u", "d"), key_only).alias("before"),
-        F.when(op != "d", image).alias("after"),
-        F.struct(F.lit("cam_bills").alias("table"), seq.cast("long").alias("lsn")).alias("source"),
-        op.alias("op"),
-        moments.to_millis(at).alias("ts_ms"),
-        moments.as_timestamp(at).alias("timestamp"),
+def envelopes(df: DataFrame, op: str, at: str, seq: str, **image: str) -> DataFrame:
+    """Change envelopes of bills, from SQL text for each part.
+
+    Deletes have a before-image with the key only, and no after-image.
+    """
+    types = {f.name: f.dataType.simpleString() for f in schemas.BILLS.fields}
+    after = ", ".join(f"'{name}', CAST({image[name]} AS {kind})" for name, kind in types.items())
+    nulls = ", ".join(f"'{name}', CAST(NULL AS {kind})" for name, kind in types.items() if name != "id")
+    return df.selectExpr("*", f"{op} AS op").selectExpr(
+        f"CASE WHEN op IN ('u', 'd') THEN named_struct('id', {image['id']}, {nulls}) END AS before",
+        f"CASE WHEN op <> 'd' THEN named_struct({after}) END AS after",
+        f"named_struct('table', 'cam_bills', 'lsn', CAST({seq} AS BIGINT)) AS source",
+        "op",
+        f"{millis(at)} AS ts_ms",
+        f"CAST({at} AS TIMESTAMP) AS timestamp",
     )
 
 
 def event_envelopes(events: DataFrame) -> DataFrame:
     """Events as changes of the bill with the user's id; costly errors delete it."""
-    kind, value = F.col("event_type"), F.col("value")
-    op = (
-        F.when((kind == "error") & (value > 200), "d")
-        .when(kind == "signup", "c")
-        .when(kind == "purchase", "r")
-        .otherwise("u")
-    )
-    plan = F.when(kind == "signup", "yearly").when(kind == "view", "quarterly").otherwise("monthly")
-    image = bill_images(
-        F.col("user_id"),
-        F.col("user_id"),
-        F.col("event_id"),
-        value,
-        plan,
-        F.when(kind == "purchase", "paid").otherwise("pending"),
-        moments.to_millis(F.col("ts")),
+    return envelopes(
+        events,
+        op="""CASE WHEN event_type = 'error' AND value > 200 THEN 'd' WHEN event_type = 'signup' THEN 'c'
+                   WHEN event_type = 'purchase' THEN 'r' ELSE 'u' END""",
+        at="ts",
+        seq="event_id",
+        id="user_id",
+        user_id="user_id",
+        device_id="event_id",
+        amount="value",
+        plan_type="CASE event_type WHEN 'signup' THEN 'yearly' WHEN 'view' THEN 'quarterly' ELSE 'monthly' END",
+        status="CASE WHEN event_type = 'purchase' THEN 'paid' ELSE 'pending' END",
+        updated_at=millis("ts"),
     )
-    return envelopes(events, F.col("user_id"), image, op, F.col("ts"), F.col("event_id"))
 
 
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the first change of a bill: finished ones from the snapshot, others inserted."""
-    df = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
-    image = bill_images(
-        F.col("o_orderkey"),
-        F.col("o_custkey"),
-        F.col("o_orderkey"),
-        F.col("o_totalprice"),
-        F.lit("monthly"),
-        F.lit("pending"),
-        moments.to_millis(F.col("o_orderdate")),
+    return envelopes(
+        spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)),
+        op="CASE WHEN o_orderstatus = 'F' THEN 'r' ELSE 'c' END",
+        at="o_orderdate",
+        seq="0",
+        id="o_orderkey",
+        user_id="o_custkey",
+        device_id="o_orderkey",
+        amount="o_totalprice",
+        plan_type="'monthly'",
+        status="'pending'",
+        updated_at=millis("o_orderdate"),
     )
-    op = F.when(F.col("o_orderstatus") == "F", "r").otherwise("c")
-    return envelopes(df, F.col("o_orderkey"), image, op, F.col("o_orderdate"), F.lit(0))
 
 
 def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as later changes of their order's bill: returned and finished ones delete it,
     the seventh line of a new one carries an op nobody knows, the rest update it."""
-    df = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS))
-    flag, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
-    image = bill_images(
-        F.col("l_orderkey"),
-        F.col("l_partkey"),
-        F.col("l_suppkey"),
-        F.col("l_extendedprice"),
-        plan_of_flag(flag),
-        F.when(status == "F", "paid").otherwise("pending"),
-        moments.to_millis(F.col("l_shipdate")),
-    )
-    op = (
-        F.when((flag == "R") & (status == "F"), "d")
-        .when((flag == "N") & (line == 7), "t")
-        .otherwise("u")
+    return envelopes(
+        spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)),
+        op="""CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'd'
+                   WHEN l_returnflag = 'N' AND l_linenumber = 7 THEN 't' ELSE 'u' END""",
+        at="l_shipdate",
+        seq=f"CAST(l_linenumber AS BIGINT) * {LINE_STEP} + l_partkey",
+        id="l_orderkey",
+        user_id="l_partkey",
+        device_id="l_suppkey",
+        amount="l_extendedprice",
+        plan_type=PLAN_OF_FLAG,
+        status=PAID_LINE,
+        updated_at=millis("l_shipdate"),
     )
-    seq = line.cast("long") * LINE_STEP + F.col("l_partkey")
-    return envelopes(df, F.col("l_orderkey"), image, op, F.col("l_shipdate"), seq)
 
 
 def messages(changes: DataFrame) -> DataFrame:

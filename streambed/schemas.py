@@ -41,7 +41,7 @@ TABLES = {"users": USERS, "devices": DEVICES, "cam_bills": BILLS}
 RAW_MESSAGE = columns("value BINARY, timestamp TIMESTAMP")
 SOURCE_INFO = columns("table STRING, lsn BIGINT")
 
-# The reference's nine bronze columns plus `seq`, the position that breaks ts_ms ties.
+# The nine columns of a change row plus `seq`, the position that breaks ts_ms ties.
 BRONZE = columns(
     "id STRING, before STRING, after STRING, source STRING, op STRING, ts_ms BIGINT, seq BIGINT, "
     "year INT, month INT, day INT"

@@ -31,15 +31,19 @@ def text_hash(column: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder, read back: computed once, no lineage, on every
-    executor's reach. The driver's JVM removes it when it ends."""
-    spark = df.sparkSession
-    folder = run_folder(spark, name)
-    df.write.parquet(folder)
+def remove_at_end(spark: SparkSession, folder: str) -> None:
+    """Have the driver's JVM remove a folder, which must exist, when it ends."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, read back: computed once, without lineage, in reach
+    of every executor. It goes when the driver's JVM ends."""
+    folder = run_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    remove_at_end(df.sparkSession, folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def pieces(text: str, limit: int = 1 << 20) -> Iterator[str]:

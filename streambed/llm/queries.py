@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streambed.llm import common, packing, simhash
+from streambed.llm import common, packing, simhash, url_filter, warc
+from streambed.session import run_folder
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +21,75 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written below the shared folder and read back; the driver's JVM removes the folder at its end."""
+    folder = run_folder(spark, "warc")
+    index = warc.write_archives(common.table(spark, sf_dir, "pages"), folder)
+    common.remove_at_end(spark, folder)
+    return warc.read_records(index).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP8_SQL = """
+WITH digests AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+  FROM pages
+), spelled AS (
+  SELECT *, list_aggregate(list_transform(range(0, 8), lambda g: list_aggregate(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(hex, (5 * g + 1)::BIGINT, 5))::BIGINT >> s) & 31)::BIGINT + 1, 1)),
+    'string_agg', '')), 'string_agg', '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY hex) AS response_id
+  FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = response_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = response_id THEN NULL ELSE response_id END AS refers_to
+FROM spelled
+"""
+
+# The rules that op10 judges by: host, path, verdict.
+OP10_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ", ".join(str(rule) for rule in OP10_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {rows} AS rules(host, path, verdict)")
+    return url_filter.judge(common.table(spark, sf_dir, "pages"), rules)
+
+
+OP10_SQL = f"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {", ".join(str(rule) for rule in OP10_RULES)}),
+rests AS (
+  SELECT page_id, row_number() OVER () AS n,
+    CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), urls AS (
+  SELECT page_id, n,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+), fits AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(rule_verdict, length(rule_host || rule_path)) AS rule_verdict
+  FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (n)
+"""
+
 REGISTRY = {
     "op1_packing": op1_packing,
     "op3_simhash": op3_simhash,
+    "op8_warc": op8_warc,
+    "op10_url_filter": op10_url_filter,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op8_warc": OP8_SQL, "op10_url_filter": OP10_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streambed.llm import common, packing, simhash, url_filter, warc
+from streambed.llm import common, html_text, packing, simhash, url_filter, warc
 from streambed.session import run_folder
 
 
@@ -16,6 +16,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(common.table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
@@ -87,6 +91,7 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FRO
 
 REGISTRY = {
     "op1_packing": op1_packing,
+    "op2_html_text": op2_html_text,
     "op3_simhash": op3_simhash,
     "op8_warc": op8_warc,
     "op10_url_filter": op10_url_filter,

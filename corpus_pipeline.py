@@ -8,8 +8,16 @@ is written as Parquet and read again as the next one's ``docs``. All but the las
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from streambed.llm import common, packing, simhash
+from streambed.llm import common, packing, simhash, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from labelled rows outside the held-out part."""
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), learn)
+    return toxicity.reject(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +30,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("near_duplicates", near_duplicates),
     ("packing", pack),
 ]

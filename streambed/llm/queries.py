@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streambed.llm import common, html_text, packing, simhash, url_filter, warc
+from streambed.llm import common, html_text, packing, simhash, toxicity, url_filter, warc
 from streambed.session import run_folder
 
 
@@ -25,6 +25,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), remainder != 2)
+    return docs.select(
+        "doc_id",
+        F.coalesce(remainder == 2, F.lit(False)).alias("held_out"),
+        toxicity.score(model, docs, F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= toxicity.DEFAULT_THRESHOLD).cast("int"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written below the shared folder and read back; the driver's JVM removes the folder at its end."""
     folder = run_folder(spark, "warc")
@@ -93,6 +104,7 @@ REGISTRY = {
     "op1_packing": op1_packing,
     "op2_html_text": op2_html_text,
     "op3_simhash": op3_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op10_url_filter": op10_url_filter,
 }

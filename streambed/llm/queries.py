@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streambed.llm import common, html_text, packing, simhash, toxicity, url_filter, warc
+from streambed.llm import common, decontaminate, html_text, line_dedup, packing, simhash, toxicity, url_filter, warc
 from streambed.session import run_folder
 
 
@@ -25,6 +25,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a benchmark passage, a row per document and item."""
+    return decontaminate.overlaps(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the text that is left and the number of lines deleted from it."""
+    found = line_dedup.remove_repeated(common.table(spark, sf_dir, "documents"), removed_col="removed_lines")
+    return found.select("doc_id", "text", "n_chars", "removed_lines")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
@@ -104,6 +115,8 @@ REGISTRY = {
     "op1_packing": op1_packing,
     "op2_html_text": op2_html_text,
     "op3_simhash": op3_simhash,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_line_dedup": op5_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op10_url_filter": op10_url_filter,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streambed.llm import common, decontaminate, html_text, line_dedup, packing, simhash, toxicity, url_filter, warc
+from streambed.llm import common, decontaminate, html_text, line_dedup, packing, secrets, simhash, toxicity, url_filter, warc
 from streambed.session import run_folder
 
 
@@ -36,6 +36,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_chars", "removed_lines")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(common.table(spark, sf_dir, "documents"))
+    base = F.filter("findings", lambda x: x["kind"] != "model")
+    count = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long")
+    spelled = lambda listed: F.array_join(
+        F.transform(listed, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ","
+    )
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(spelled(base), 256).alias("base_sha256"),
+        spelled(F.col("findings")).alias("spans"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
@@ -117,6 +132,7 @@ REGISTRY = {
     "op3_simhash": op3_simhash,
     "op4_decontaminate": op4_decontaminate,
     "op5_line_dedup": op5_line_dedup,
+    "op6_secrets": op6_secrets,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op10_url_filter": op10_url_filter,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streambed.llm import common, decontaminate, html_text, line_dedup, packing, secrets, simhash, toxicity, url_filter, warc
+from streambed.llm import common, decontaminate, html_text, line_dedup, neighbours, packing, secrets, simhash, toxicity, url_filter, warc
 from streambed.session import run_folder
 
 
@@ -90,6 +90,11 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM spelled
 """
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 # The rules that op10 judges by: host, path, verdict.
 OP10_RULES = [
     ("com", "/", "allow"),
@@ -135,6 +140,7 @@ REGISTRY = {
     "op6_secrets": op6_secrets,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
+    "op9_neighbours": op9_neighbours,
     "op10_url_filter": op10_url_filter,
 }
 

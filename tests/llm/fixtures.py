@@ -1,0 +1,26 @@
+"""Small tables for the operators' tests."""
+
+SMALL = "/root/testdata/sf0.001"
+TINY = "/root/testdata/sf0.01"
+
+# Columns that the operators use inside, to clash with.
+CLASHING = {
+    "text_hash": "x", "fingerprint": 1.5, "root": "r", "component_id": "c", "start": "s", "length": None, "ids": "i",
+    "run": "u", "place": "p", "words": "w", "kind": "k", "part": 3, "key": "key", "seed": "seed", "count": 7,
+    "print": "print", "hits": "h",
+}
+
+
+def documents(spark, rows, clashing=True):
+    """(doc_id, text[, lang]) rows as documents with the usual columns and clashing ones."""
+    from pyspark.sql import functions as F
+
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "src", len(r[1] or "")) for r in rows]
+    df = spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars int")
+    for name, value in (CLASHING if clashing else {}).items():
+        df = df.withColumn(name, F.lit(value) if value is not None else F.lit(None).cast("string"))
+    return df
+
+
+def same_columns(before, after):
+    assert before.schema.simpleString() == after.schema.simpleString()

@@ -251,7 +251,8 @@ def compared(found: pd.DataFrame, asked: pd.DataFrame, keep: int) -> pd.DataFram
                 out["query"] += [asked["key"].iat[at + k]] * len(best)
                 out["score"] += score[best].tolist()
                 out["ids"] += [list(found["ids"].iat[int(j)]) for j in chosen[best]]
-    return pd.DataFrame(out)
+    kinds = {"query": object, "score": np.float64, "ids": object}
+    return pd.DataFrame({name: pd.Series(out[name], dtype=kind) for name, kind in kinds.items()})
 
 
 def nearest(

@@ -1,0 +1,62 @@
+"""URL rules: against SQL and against rules tried one by one, edge cases."""
+
+import random
+
+from streambed.llm import url_filter
+from streambed.llm.queries import SQL, op10_url_filter
+from tests.compare import difference, duck
+from tests.llm.fixtures import TINY
+
+RULES = [("Example.com", "/a", "block"), ("com", "/", "allow"), ("x.example.com", "", "allow"), ("example.com", "/a", "allow"),
+         ("example.com", "/a/b/", "allow"), ("b.c.d", "/q", "block"), ("", "/", "block"), ("z.com", "/", "maybe")]
+
+
+def plain(url, rules, default="allow"):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host, tail = "".join(c.lower() if c.isascii() else c for c in rest[:end]), rest[end:]
+        path = tail[: min([tail.find(c) for c in "?#" if c in tail], default=len(tail))]
+    best = None
+    for rule_host, rule_path, verdict in rules:
+        rule_host = rule_host.lower()
+        if rule_host and verdict in ("allow", "block") and (host == rule_host or host.endswith("." + rule_host)):
+            if path.startswith(rule_path):
+                rank = (len(rule_host + rule_path), len(rule_host), rule_host + rule_path, verdict)
+                best = max(best or rank, rank)
+    return host, path, best and best[2], best[3] if best else default
+
+
+URLS = [None, "", "no scheme/a", "http://", "HTTP://EXAMPLE.COM/a", "http://x.example.com", "http://notexample.com/a/b/c",
+        "ftp://y.x.Example.com?q=/a", "s://example.com#/a", "http://a://example.com/a", "http://example.com/a/b/?x#y",
+        "http://b.c.d/qq", "http://c.d/q", "http://ÄB.com/É", "x://com/", "x://.com/", "x://z.com", "http://h\n.com/a\nb"]
+
+
+def pages(spark, urls):
+    rows = [(k if k % 5 else None, u, "clash", "clash") for k, u in enumerate(urls)]
+    return spark.createDataFrame(rows, "page_id long, url string, host string, rule string")
+
+
+def judged(df):
+    return sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in df.collect()), key=repr)
+
+
+def test_odd_and_random_urls_against_each_rule(spark):
+    rng = random.Random(8)
+    labels, paths = ["a", "b", "example", "com", "x", "c.d"], ["", "/", "/a", "/a/b/", "/q/a", "/A"]
+    urls = URLS + [f"h://{'.'.join(rng.choices(labels, k=rng.randint(1, 4)))}{rng.choice(paths)}" for _ in range(200)] * 2
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    found = judged(url_filter.judge(pages(spark, urls), rules))
+    assert found == sorted(((k if k % 5 else None, *plain(u, RULES)) for k, u in enumerate(urls)), key=repr)
+
+
+def test_no_rules_and_no_pages(spark):
+    none = spark.createDataFrame([], "host string, path string, verdict string")
+    found = judged(url_filter.judge(pages(spark, URLS), none, default="block"))
+    assert found == sorted(((k if k % 5 else None, *plain(u, [], "block")) for k, u in enumerate(URLS)), key=repr)
+    assert url_filter.judge(pages(spark, []), none).count() == 0
+
+
+def test_query_against_sql(spark):
+    assert difference(spark, duck(TINY), TINY, op10_url_filter, SQL["op10_url_filter"]) is None

@@ -1,4 +1,8 @@
-"""What the operators share: reading tables, bounded Arrow batches, tables between steps."""
+"""What the operators share: reading tables, bounded Arrow batches, tables between steps.
+
+Joins with tables whose size nothing bounds carry a merge hint, at every size: they are never
+broadcast, and Spark can split a frequent key's rows.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streambed.llm import bits
 from streambed.session import run_folder
 
 # Rows handed to Python at once. Rows hold whole texts, so Spark's 10,000 would be too many.
@@ -40,12 +45,37 @@ def remove_at_end(spark: SparkSession, folder: str) -> None:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder, read back: computed once, without lineage, in reach
     of every executor. It goes when the driver's JVM ends."""
-    folder = run_folder(df.sparkSession, name)
+    folder = f"{run_folder(df.sparkSession, name)}/rows"
     df.write.parquet(folder)
     remove_at_end(df.sparkSession, folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+# Names that ``keyed`` adds and ``split`` compares; they begin like no column of a table.
+OWN_ID, OWN_HASH, KEY_ID, KEY_HASH = "__own_id", "__own_hash", "__key_id", "__key_hash"
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with its rows' identity: the id as a long and the text's hash."""
+    return docs.withColumn(OWN_ID, F.col(id_col).cast("long")).withColumn(OWN_HASH, text_hash(text_col))
+
+
+def same_document() -> Column:
+    return F.col(OWN_ID).eqNullSafe(F.col(KEY_ID)) & (F.col(OWN_HASH) == F.col(KEY_HASH))
+
+
+def split(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (with its identity) as rows that are surely not among ``keys``, and all others.
+
+    ``keys`` has KEY_ID and KEY_HASH. Whole texts need not be shuffled for the first kind; the second
+    has to meet ``keys`` in a join. The test is a bit table of fixed size.
+    """
+    mixed = lambda a, b: F.xxhash64(F.coalesce(F.col(a), F.lit(-1)), b)
+    known = bits.maybe_in(keys.select(mixed(KEY_ID, KEY_HASH)), mixed(OWN_ID, OWN_HASH))
+    own = keyed(docs, id_col, text_col).withColumn("__known", known)
+    return own.where(~F.col("__known")).drop("__known"), own.where("__known").drop("__known")
+
+
 def pieces(text: str, limit: int = 1 << 20) -> Iterator[str]:
     """The text in parts of about ``limit`` characters, cut before a blank that follows no blank.
 

@@ -186,11 +186,11 @@ def later_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
     every = common.written(selected_lines(docs, min_words, id_col, text_col), "selected_lines")
     repeated = every.groupBy("print").count().where("count > 1").select(F.col("print").alias("again"))
     repeated = common.written(repeated, "repeated_lines")
-    met = every.join(repeated, F.col("print") == F.col("again"), "left_semi")
+    met = every.join(repeated.hint("merge"), F.col("print") == F.col("again"), "left_semi")
     found = common.written(runs(met, min_words), "runs")
     place = found.groupBy("run").agg(F.count("*").alias("n"), F.min(_place()).alias("place")).where("n > 1")
     earliest = common.written(place.select(F.col("run").alias("same"), "place"), "earliest_runs")
-    joined = found.join(earliest, F.col("run") == F.col("same")).where(_place() > F.col("place"))
+    joined = found.join(earliest.hint("merge"), F.col("run") == F.col("same")).where(_place() > F.col("place"))
     return joined.select("doc_id", "text_hash", "start", "stop")
 
 
@@ -228,18 +228,17 @@ def remove_repeated(
     """
     spans = later_runs(docs, min_words, id_col, text_col).groupBy("doc_id", "text_hash")
     spans = spans.agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
-    spans = common.written(spans.toDF("__id", "__hash", "__spans"), "later_runs")
-    own = docs.withColumn("__own_id", F.col(id_col).cast("long")).withColumn("__own_hash", common.text_hash(text_col))
-    same = F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__hash"))
-    joined = own.join(spans, same, "left")
+    spans = common.written(spans.toDF(common.KEY_ID, common.KEY_HASH, "__spans"), "later_runs")
+    whole, others = common.split(docs, spans, id_col, text_col)
+    joined = others.join(spans.hint("merge"), common.same_document(), "left")
 
     @F.pandas_udf("text string, removed int")
     def shortened(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_without(t, s) for t, s in zip(texts, spans)], columns=["text", "removed"])
 
-    # Texts that keep all lines do not travel to Python.
-    text = F.when(F.col("__spans").isNotNull(), F.col(text_col).cast("string"))
-    both = joined.withColumn("__new", shortened(text, "__spans"))
+    new = F.lit(None).cast("struct<text: string, removed: int>")
+    changed = joined.withColumn("__new", F.when(F.col("__spans").isNotNull(), shortened(F.col(text_col).cast("string"), "__spans")))
+    both = whole.withColumn("__new", new).unionByName(changed.drop("__spans", common.KEY_ID, common.KEY_HASH))
     columns = []
     for name in docs.columns:
         column = F.col(f"`{name}`")

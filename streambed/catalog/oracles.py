@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from streambed.functions.text import ACCENTED, PLAIN
+# The accented letters of the source system, and what each becomes.
+ACCENTED = (
+    "ÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯưẠạẢảẤấẦầẨẩẪẫẬậẮắẰằẲẳẴẵẶặẸẹẺẻẼẽẾếỀềỂểỄễỆệỈỉỊịỌọỎỏỐốỒồỔổỖỗỘộỚớỜờỞởỠỡỢợỤụỦủỨứỪừỬửỮữỰựỲỳỴỵỶỷỸỹ"
+)
+PLAIN = (
+    "AAAAEEEIIOOOOUUYaaaaeeeiioooouuyAaDdIiUuOoUuAaAaAaAaAaAaAaAaAaAaAaAaEeEeEeEeEeEeEeEeIiIiOoOoOoOoOoOoOoOoOoOoOoOoUuUuUuUuUuUuUuYyYyYyYy"
+)
 
 MS = "(epoch_us({0}) // 1000)"
 AS_OF = "'2024-02-01 00:00:00'"
@@ -42,16 +48,20 @@ CTES = {
                CASE WHEN o_orderstatus = 'F' THEN 'paid' ELSE 'pending' END AS status,
                {MS.format('o_orderdate')} AS updated_at
         FROM orders""",
+    "dated_invoices": """
+        SELECT *, CAST(make_timestamp(updated_at * 1000) AS DATE) AS first_day,
+               CASE plan_type WHEN 'monthly' THEN 30 WHEN 'quarterly' THEN 90 ELSE 365 END AS days FROM invoices""",
     "payments0": """
         SELECT CASE WHEN status = 'pending' AND plan_type = 'quarterly' THEN id + 3000000000000 ELSE id END AS bill_id,
                user_id,
                ['ViettelMoney', 'VNPay', 'Momo', 'MBBank', 'Vietcombank', 'Techcombank'][1 + user_id % 6] AS payment_gateway,
                CASE WHEN status = 'pending' AND plan_type = 'yearly' THEN CAST(amount + 1 AS DECIMAL(15,2)) ELSE amount END AS trans_amount,
                make_timestamp(updated_at * 1000) AS trans_time,
-               CASE WHEN status = 'paid' AND plan_type = 'quarterly' THEN 'REFUNDED'
+               CASE WHEN user_id % 7 = 0 THEN NULL WHEN status = 'paid' AND plan_type = 'quarterly' THEN 'REFUNDED'
                     WHEN status = 'paid' THEN 'SUCCESS' ELSE 'PENDING' END AS trans_status,
                ['MBBank', 'Vietcombank', 'Techcombank', 'BIDV', 'VietinBank', 'VPBank'][1 + id % 6] AS bank_code
-        FROM invoices""",
+        FROM (SELECT * FROM invoices UNION ALL
+              SELECT * FROM invoices WHERE status = 'paid' AND plan_type = 'yearly' AND user_id % 5 = 0)""",
     "payments": """
         SELECT upper(substr(payment_gateway, 1, 3)) || '_' || strftime(trans_time, '%Y%m%d') || '_'
                    || printf('%06d', bill_id) AS partner_trans_id,
@@ -112,8 +122,8 @@ CTES = {
                CAST(b.amount AS DOUBLE) AS billed_amount, CAST(p.trans_amount AS DOUBLE) AS paid_amount,
                CAST(p.partner_fee AS DOUBLE) AS partner_fee,
                CASE WHEN b.id IS NULL THEN 'orphan_payment' WHEN p.bill_id IS NULL THEN 'missing_payment'
-                    WHEN b.amount <> p.trans_amount THEN 'amount_mismatch'
-                    WHEN CASE WHEN b.status = 'paid' THEN 'SUCCESS' ELSE 'PENDING' END <> p.trans_status THEN 'status_mismatch'
+                    WHEN b.amount IS DISTINCT FROM p.trans_amount THEN 'amount_mismatch'
+                    WHEN CASE WHEN b.status = 'paid' THEN 'SUCCESS' ELSE 'PENDING' END IS DISTINCT FROM p.trans_status THEN 'status_mismatch'
                     ELSE 'matched' END AS outcome
         FROM invoices b FULL OUTER JOIN payments p ON b.id = p.bill_id""",
     "merged": """
@@ -123,7 +133,10 @@ CTES = {
         SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, seq DESC) AS rn
                                     FROM bill_log WHERE op = 'u') WHERE rn = 1""",
     "kept_inserts": """
-        SELECT * FROM bill_log WHERE op IN ('c', 'r') AND id NOT IN (SELECT id FROM bill_log WHERE op = 'u')""",
+        SELECT b.* FROM (SELECT * FROM bill_log WHERE op IN ('c', 'r')) b
+        LEFT JOIN (SELECT DISTINCT id AS updated_id FROM bill_log WHERE op = 'u') ON b.id = updated_id
+        WHERE updated_id IS NULL""",
+    "deleted_keys": "SELECT DISTINCT id AS deleted_id FROM bill_log WHERE op = 'd'",
 }
 
 
@@ -141,14 +154,14 @@ INGEST = with_views(
     "event_log",
     f"""SELECT CAST(id AS VARCHAR) AS id, op, ts_ms, seq,
         CASE WHEN op <> 'd' THEN CAST(amount AS DOUBLE) END AS amount, 'cam_bills' AS source_table,
-        {PARTS.format('ts')} FROM event_log""",
+        seq + 1000 AS transaction, {PARTS.format('ts')} FROM event_log""",
 )
 USER_360 = f"""
     SELECT u.id AS user_id, u.name AS user_name, u.email,
-           CAST(coalesce(total_devices, 0) AS INTEGER) AS total_devices,
-           CAST(coalesce(online_devices, 0) AS INTEGER) AS online_devices,
-           CAST(coalesce(offline_devices, 0) AS INTEGER) AS offline_devices,
-           CAST(coalesce(total_bills, 0) AS INTEGER) AS total_bills,
+           CAST(coalesce(total_devices, 0) AS BIGINT) AS total_devices,
+           CAST(coalesce(online_devices, 0) AS BIGINT) AS online_devices,
+           CAST(coalesce(offline_devices, 0) AS BIGINT) AS offline_devices,
+           CAST(coalesce(total_bills, 0) AS BIGINT) AS total_bills,
            CAST(round(coalesce(total_spent, 0), 2) AS DOUBLE) AS total_spent,
            CASE WHEN total_spent >= 1000000 THEN 'DIAMOND' WHEN total_spent >= 500000 THEN 'GOLD'
                 WHEN total_spent > 0 THEN 'SILVER' ELSE 'STANDARD' END AS vip_tier,
@@ -163,10 +176,10 @@ DEVICE_MART = f"""
 NEWEST_BILLS = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY device_id
     ORDER BY updated_at DESC, id DESC, amount DESC, plan_type DESC, status DESC) AS rn FROM bills) WHERE rn = 1)"""
 KPI = f"""
-    SELECT '2024-02-01' AS report_date, CAST(n_users AS INTEGER) AS total_registered_users,
-           CAST(n_devices AS INTEGER) AS total_active_devices, CAST(n_online AS INTEGER) AS online_devices,
+    SELECT '2024-02-01' AS report_date, CAST(n_users AS BIGINT) AS total_registered_users,
+           CAST(n_devices AS BIGINT) AS total_active_devices, CAST(n_online AS BIGINT) AS online_devices,
            CAST(round(CAST(n_online * 100 AS DECIMAL(20,0)) / n_devices, 2) AS DOUBLE) AS device_online_ratio_pct,
-           CAST(revenue AS DOUBLE) AS total_revenue, CAST(n_paid AS INTEGER) AS total_paid_transactions,
+           CAST(revenue AS DOUBLE) AS total_revenue, CAST(n_paid AS BIGINT) AS total_paid_transactions,
            CAST(round(revenue / n_users, 2) AS DOUBLE) AS avg_revenue_per_user, {AS_OF} AS updated_at
     FROM (SELECT count(*) AS n_users FROM users),
          (SELECT count(*) AS n_devices, count(CASE WHEN status = 'online' THEN 1 END) AS n_online FROM devices),
@@ -177,11 +190,11 @@ USER_360_SQL = with_views("customer_users supplier_users users devices bills dev
 DEVICE_SQL = with_views("customer_users supplier_users users devices bills", DEVICE_MART.format("bills"))
 
 SQL: dict[str, str] = {
-    "tombstone_filter": with_views("event_log", "SELECT true AS framed, ts_ms FROM event_log"),
-    "wire_frame_decode": with_views("event_log", "SELECT 7 AS schema_id, op, seq, ts_ms FROM event_log"),
+    "tombstone_filter": with_views("event_log", "SELECT true AS framed, op = 'd' AS deletes, ts_ms FROM event_log"),
+    "wire_frame_decode": with_views("event_log", "SELECT CASE op WHEN 'd' THEN 8 ELSE 7 END AS schema_id, op, seq, ts_ms FROM event_log"),
     "envelope_decode": with_views(
         "event_log",
-        """SELECT id, op, 'cam_bills' AS source_table, seq, ts_ms,
+        """SELECT id, op, 'cam_bills' AS source_table, 'shop' AS source_db, seq, ts_ms,
             CASE WHEN op <> 'd' THEN CAST(amount AS DOUBLE) END AS amount,
             CASE WHEN op <> 'd' THEN plan_type END AS plan_type, op IN ('u', 'd') AS has_before FROM event_log""",
     ),
@@ -196,8 +209,8 @@ SQL: dict[str, str] = {
     "lake_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "empty_fallback": with_views(
         "customer_users supplier_users users",
-        f"""SELECT id AS user_id, name AS user_name, email, 0 AS total_devices, 0 AS online_devices,
-            0 AS offline_devices, 0 AS total_bills, CAST(0 AS DOUBLE) AS total_spent, 'STANDARD' AS vip_tier,
+        f"""SELECT id AS user_id, name AS user_name, email, CAST(0 AS BIGINT) AS total_devices, CAST(0 AS BIGINT) AS online_devices,
+            CAST(0 AS BIGINT) AS offline_devices, CAST(0 AS BIGINT) AS total_bills, CAST(0 AS DOUBLE) AS total_spent, 'STANDARD' AS vip_tier,
             'monthly' AS primary_plan, {AS_OF} AS updated_at FROM users""",
     ),
     "split_by_op": with_views(
@@ -235,9 +248,9 @@ SQL: dict[str, str] = {
         f"SELECT {CHANGE} FROM (SELECT * FROM kept_inserts UNION ALL SELECT * FROM kept_updates)",
     ),
     "crud_reconstruct": with_views(
-        "order_log line_log bill_log kept_updates kept_inserts",
+        "order_log line_log bill_log kept_updates kept_inserts deleted_keys",
         f"""SELECT {BILL} FROM (SELECT * FROM kept_inserts UNION ALL SELECT * FROM kept_updates)
-            WHERE id NOT IN (SELECT id FROM bill_log WHERE op = 'd')""",
+            LEFT JOIN deleted_keys ON id = deleted_id WHERE deleted_id IS NULL""",
     ),
     "silver_merge": with_views("order_log line_log bill_log merged", f"SELECT {BILL} FROM merged"),
     "silver_merge_stream": with_views(
@@ -345,8 +358,8 @@ SQL: dict[str, str] = {
     "device_logs_fact": with_views(
         "device_logs",
         """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date,
-            device_id, event_type, severity, firmware_version, ip_address, fps, bitrate_kbps, duration_sec, error_code
-            FROM device_logs""",
+            device_id, event_type, severity, firmware_version, ip_address, fps, bitrate_kbps, duration_sec, error_code,
+            CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month FROM device_logs""",
     ),
     "payment_fact": with_views(
         "invoices payments0 payments",
@@ -357,11 +370,12 @@ SQL: dict[str, str] = {
     "reconcile_payments": with_views("invoices payments0 payments reconciled", "SELECT * FROM reconciled"),
     "reconcile_summary": with_views(
         "invoices payments0 payments reconciled",
-        """SELECT payment_gateway, outcome, count(*) AS payments,
-            CAST(coalesce(sum(CAST(billed_amount AS DECIMAL(15,2))), 0) AS DOUBLE) AS billed_amount,
+        """SELECT payment_gateway, outcome, CAST(count(*) AS BIGINT) AS payments,
+            CAST(coalesce(sum(CASE WHEN nth = 1 THEN CAST(billed_amount AS DECIMAL(15,2)) END), 0) AS DOUBLE) AS billed_amount,
             CAST(coalesce(sum(CAST(paid_amount AS DECIMAL(15,2))), 0) AS DOUBLE) AS paid_amount,
             CAST(coalesce(sum(CAST(partner_fee AS DECIMAL(15,2))), 0) AS DOUBLE) AS partner_fee
-            FROM reconciled GROUP BY payment_gateway, outcome""",
+            FROM (SELECT *, row_number() OVER (PARTITION BY payment_gateway, outcome, bill_id) AS nth FROM reconciled)
+            GROUP BY payment_gateway, outcome""",
     ),
     "connection_errors": with_views(
         "devices device_logs",
@@ -371,14 +385,38 @@ SQL: dict[str, str] = {
             WHERE error_code IS NOT NULL GROUP BY 1, 2, 3, 4""",
     ),
     "subscription_renewals": with_views(
-        "invoices",
+        "invoices dated_invoices",
         """SELECT id AS first_bill_id, user_id, device_id, CAST(amount AS DOUBLE) AS amount, plan_type,
             CAST(n AS INTEGER) AS renewal_no, CAST(first_day + CAST(n * days AS INTEGER) AS VARCHAR) AS renewal_date
             FROM (SELECT *, unnest(range(1, 1 + (DATE '2001-08-01' - first_day) // days)) AS n
-                  FROM (SELECT *, CAST(make_timestamp(updated_at * 1000) AS DATE) AS first_day,
-                               CASE plan_type WHEN 'monthly' THEN 30 WHEN 'quarterly' THEN 90 ELSE 365 END AS days
-                        FROM invoices WHERE status = 'paid'))""",
+                  FROM dated_invoices WHERE status = 'paid')""",
+    ),
+    "bills_with_renewals": with_views(
+        "invoices dated_invoices",
+        """SELECT id AS first_bill_id, 0 AS renewal_no, user_id, device_id, CAST(amount AS DOUBLE) AS amount, plan_type,
+                status, CAST(first_day AS VARCHAR) AS bill_date FROM dated_invoices
+            UNION ALL
+            SELECT id, CAST(n AS INTEGER), user_id, device_id, CAST(amount AS DOUBLE), plan_type, status,
+                CAST(first_day + CAST(n * days AS INTEGER) AS VARCHAR)
+            FROM (SELECT *, unnest(range(1, 1 + (DATE '2001-08-01' - first_day) // days)) AS n
+                  FROM dated_invoices WHERE status = 'paid')""",
+    ),
+    "timed_stream": INGEST,
+    "overwrite_table": with_views("customer_users", "SELECT * FROM customer_users"),
+    "truncate_table": with_views(
+        "customer_users supplier_users users",
+        """SELECT 'full' AS state, count(*) AS table_rows FROM users
+            UNION ALL SELECT 'emptied', CAST(0 AS BIGINT)""",
+    ),
+    "skip_empty_export": with_views(
+        "customer_users supplier_users users",
+        """SELECT id, (SELECT count(*) FROM users) AS first_rows, CAST(0 AS BIGINT) AS second_rows, 0 AS new_files
+            FROM users""",
     ),
+    "tables_in_turn": """
+        SELECT 'customer' AS name, count(*) AS table_rows FROM customer
+        UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'supplier', count(*) FROM supplier
+        UNION ALL SELECT 'no_such_table', NULL""",
     "email_normalise": f"""
         SELECT doc_id, replace(lower(translate(text, '{ACCENTED}', '{PLAIN}')), ' ', '') AS folded FROM documents""",
     "epoch_format": f"""

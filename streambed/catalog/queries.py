@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streambed import schemas
 from streambed.catalog import views
@@ -19,6 +21,7 @@ from streambed.sources import files as file_sources
 from streambed.sources import lake, topics
 from streambed.streaming.bronze import ALL_AVAILABLE, start_bronze
 from streambed.streaming.silver import start_replica, start_silver
+from streambed.streaming.supervise import for_each_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,7 +31,6 @@ REPORT_DATE = "2024-02-01"
 RENEW_UNTIL = "2001-08-01"
 SNAPSHOT_MS = 1704067200000
 PICK_SEED = 42
-STREAM_BUCKETS = 16
 
 
 def query(function: Query) -> Query:
@@ -36,9 +38,15 @@ def query(function: Query) -> Query:
     return function
 
 
+def plain_money(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, as the results are compared."""
+    money = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
+    return df.withColumns({name: F.col(name).cast("double") for name in money})
+
+
 def bill_output(df: DataFrame) -> DataFrame:
     """Bill columns with the amount as a double."""
-    return df.select(*[F.col(c).cast("double").alias(c) if c == "amount" else F.col(c) for c in schemas.BILLS.names])
+    return plain_money(df.select(*schemas.BILLS.names))
 
 
 def change_output(bronze: DataFrame) -> DataFrame:
@@ -55,7 +63,7 @@ def change_output(bronze: DataFrame) -> DataFrame:
 
 
 def bill_decoder() -> changelog.Decoder:
-    return changelog.json_envelope(schemas.BILLS)
+    return changelog.json_envelope()
 
 
 # Sources and the bronze layer
@@ -64,9 +72,12 @@ def bill_decoder() -> changelog.Decoder:
 @query
 def tombstone_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = changelog.drop_tombstones(views.event_messages(spark, sf_dir))
+    payload = wire.frame_payload(F.col("value")).cast("string")
     return live.select(
-        F.length("value").cast("int").alias("frame_bytes"), moments.to_millis(F.col("timestamp")).alias("ts_ms")
-    ).select((F.col("frame_bytes") > wire.HEADER_BYTES).alias("framed"), "ts_ms")
+        (F.length("value") > wire.HEADER_BYTES).alias("framed"),
+        (F.get_json_object(payload, "$.op") == "d").alias("deletes"),
+        moments.to_millis(F.col("timestamp")).alias("ts_ms"),
+    )
 
 
 @query
@@ -84,14 +95,16 @@ def wire_frame_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = changelog.decode_messages(views.event_messages(spark, sf_dir), bill_decoder())
-    return decoded.select(
-        F.coalesce("data.after.id", "data.before.id").alias("id"),
+    images = [F.from_json(f"data.{image}", schemas.BILLS).alias(image) for image in ("after", "before")]
+    return decoded.select("data", *images).select(
+        F.coalesce("after.id", "before.id").alias("id"),
         F.col("data.op").alias("op"),
-        F.col("data.source.table").alias("source_table"),
-        F.col("data.source.lsn").alias("seq"),
+        F.get_json_object("data.source", "$.table").alias("source_table"),
+        F.get_json_object("data.source", "$.db").alias("source_db"),
+        F.get_json_object("data.source", "$.lsn").cast("long").alias("seq"),
         F.col("data.ts_ms").alias("ts_ms"),
-        F.col("data.after.amount").cast("double").alias("amount"),
-        F.col("data.after.plan_type").alias("plan_type"),
+        F.col("after.amount").cast("double").alias("amount"),
+        F.col("after.plan_type").alias("plan_type"),
         F.col("data.before").isNotNull().alias("has_before"),
     )
 
@@ -104,6 +117,7 @@ def ingest_output(bronze: DataFrame) -> DataFrame:
         "seq",
         F.from_json("after", schemas.BILLS)["amount"].cast("double").alias("amount"),
         F.get_json_object("source", "$.table").alias("source_table"),
+        F.get_json_object("source", "$.txId").cast("long").alias("transaction"),
         "year",
         "month",
         "day",
@@ -128,6 +142,18 @@ def bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_output(ingest_events(spark, sf_dir, run_folder(spark, "bronze_ingest_stream")))
 
 
+@query
+def timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze stream with a processing-time trigger, stopped when it has taken in what is there."""
+    root = run_folder(spark, "timed_stream")
+    raw = views.messages(views.event_envelopes(views.event_stream(spark, sf_dir)))
+    trigger = {"processingTime": "1 second"}
+    stream = start_bronze(raw, bill_decoder(), f"{root}/bronze", f"{root}/checkpoint", "stream_timed", trigger)
+    stream.processAllAvailable()
+    stream.stop()
+    return ingest_output(spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze"))
+
+
 @query
 def bronze_partition_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.events(spark, sf_dir).select("event_id", *moments.calendar_parts(moments.as_timestamp(F.col("ts"))))
@@ -154,7 +180,7 @@ def empty_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_folder(spark, "empty_fallback")
     devices = lake.read_or_empty(spark, f"{root}/devices", schemas.DEVICES)
     bills = lake.read_or_empty(spark, f"{root}/cam_bills", schemas.BILLS)
-    return marts.user_360(views.users(spark, sf_dir), devices, bills, AS_OF)
+    return plain_money(marts.user_360(views.users(spark, sf_dir), devices, bills, AS_OF))
 
 
 @query
@@ -200,9 +226,8 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers against a later state: furniture accounts closed, machinery ones renamed,
     suppliers added."""
     old = views.customer_users(spark, sf_dir)
-    segment = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_mktsegment")
     renamed = edits.update_where(
-        old.join(segment, "id").where("c_mktsegment <> 'FURNITURE'"),
+        views.customer_users(spark, sf_dir, "c_mktsegment").where("c_mktsegment <> 'FURNITURE'"),
         F.col("c_mktsegment") == "MACHINERY",
         name=F.concat("name", F.lit(" (Pro)")),
     ).drop("c_mktsegment")
@@ -271,7 +296,7 @@ def silver_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     into a silver table."""
     root = run_folder(spark, "silver_merge_stream")
     ingest_events(spark, sf_dir, root)
-    silver_table = SilverTable(f"{root}/silver", schemas.BILLS, buckets=STREAM_BUCKETS)
+    silver_table = SilverTable(f"{root}/silver", schemas.BILLS)
     bronze = topics.file_stream(spark, f"{root}/bronze", schemas.BRONZE)
     start_silver(bronze, silver_table, f"{root}/merge", trigger=ALL_AVAILABLE).awaitTermination()
     return bill_output(read_current(spark, silver_table))
@@ -279,16 +304,16 @@ def silver_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replica_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bill_output(
-        silver.replica_upsert(views.invoices(spark, sf_dir), views.line_bronze(spark, sf_dir), schemas.BILLS)
-    )
+    target = silver.as_silver(views.invoices(spark, sf_dir))
+    upserted = silver.replica_upsert(target, views.line_bronze(spark, sf_dir), schemas.BILLS)
+    return bill_output(silver.current_rows(upserted))
 
 
 @query
 def replica_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events upserted into a replica as a stream, deletes ignored."""
     root = run_folder(spark, "replica_stream")
-    replica = SilverTable(f"{root}/replica", schemas.BILLS, buckets=STREAM_BUCKETS)
+    replica = SilverTable(f"{root}/replica", schemas.BILLS)
     bronze = views.bronze_rows(views.event_envelopes(views.event_stream(spark, sf_dir)))
     start_replica(bronze, replica, f"{root}/checkpoint", trigger=ALL_AVAILABLE).awaitTermination()
     return bill_output(read_current(spark, replica))
@@ -372,40 +397,49 @@ def scalar_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The gold layer
 
 
+def user_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.user_360(views.users(spark, sf_dir), views.devices(spark, sf_dir), views.bills(spark, sf_dir), AS_OF)
+
+
+def device_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.device_performance(
+        views.devices(spark, sf_dir), views.users(spark, sf_dir), views.bills(spark, sf_dir), AS_OF
+    )
+
+
 @query
 def user_360(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.user_360(
-        views.users(spark, sf_dir), views.devices(spark, sf_dir), views.bills(spark, sf_dir), AS_OF
-    )
+    return plain_money(user_mart(spark, sf_dir))
 
 
 @query
 def device_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.device_performance(
-        views.devices(spark, sf_dir), views.users(spark, sf_dir), views.bills(spark, sf_dir), AS_OF
-    )
+    return plain_money(device_mart(spark, sf_dir))
 
 
 @query
 def device_performance_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.device_performance_latest(
-        views.devices(spark, sf_dir), views.users(spark, sf_dir), views.bills(spark, sf_dir), AS_OF
+    return plain_money(
+        marts.device_performance_latest(
+            views.devices(spark, sf_dir), views.users(spark, sf_dir), views.bills(spark, sf_dir), AS_OF
+        )
     )
 
 
+def kpi_over(spark: SparkSession, sf_dir: str, bills: DataFrame) -> DataFrame:
+    row = marts.executive_kpi(views.users(spark, sf_dir), views.devices(spark, sf_dir), bills, REPORT_DATE, AS_OF)
+    return plain_money(row)
+
+
 @query
 def executive_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.executive_kpi(
-        views.users(spark, sf_dir), views.devices(spark, sf_dir), views.bills(spark, sf_dir), REPORT_DATE, AS_OF
-    )
+    return kpi_over(spark, sf_dir, views.bills(spark, sf_dir))
 
 
 @query
 def kpi_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The KPI row over bills that come out of the change log."""
-    return marts.executive_kpi(
-        views.users(spark, sf_dir), views.devices(spark, sf_dir), merged_bills(spark, sf_dir), REPORT_DATE, AS_OF
-    )
+    return kpi_over(spark, sf_dir, merged_bills(spark, sf_dir))
 
 
 @query
@@ -442,16 +476,64 @@ def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contract_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = contract.conform(device_performance(spark, sf_dir), schemas.DEVICE_PERFORMANCE)
-    return mart.withColumn("bill_amount", F.col("bill_amount").cast("double"))
+    return plain_money(contract.conform(device_mart(spark, sf_dir), schemas.DEVICE_PERFORMANCE))
 
 
 @query
 def mart_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_folder(spark, 'mart_export')}/user_360"
-    file_sinks.export_mart(contract.conform(user_360(spark, sf_dir), schemas.USER_360), path)
-    exported = spark.read.schema(schemas.USER_360).json(path)
-    return exported.withColumn("total_spent", F.col("total_spent").cast("double"))
+    file_sinks.export_mart(contract.conform(user_mart(spark, sf_dir), schemas.USER_360), path)
+    return plain_money(spark.read.schema(schemas.USER_360).json(path))
+
+
+@query
+def skip_empty_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart appended once with its rows and once empty: the second run adds nothing, not even a file."""
+    path = f"{run_folder(spark, 'skip_empty_export')}/users"
+    users = views.users(spark, sf_dir)
+    first = file_sinks.export_mart(users, path)
+    files = len(lake.child_names(spark, path))
+    second = file_sinks.export_mart(edits.emptied(users), path)
+    return spark.read.schema(schemas.USERS).json(path).select(
+        "id",
+        F.lit(first).cast("long").alias("first_rows"),
+        F.lit(second).cast("long").alias("second_rows"),
+        F.lit(len(lake.child_names(spark, path)) - files).alias("new_files"),
+    )
+
+
+@query
+def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All accounts, overwritten by the customers."""
+    path = f"{run_folder(spark, 'overwrite_table')}/users"
+    file_sinks.overwrite_table(views.users(spark, sf_dir), path)
+    file_sinks.overwrite_table(views.customer_users(spark, sf_dir), path)
+    return lake.read_required(spark, path)
+
+
+@query
+def truncate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the stored accounts before and after they are emptied."""
+    path = f"{run_folder(spark, 'truncate_table')}/users"
+    file_sinks.overwrite_table(views.users(spark, sf_dir), f"{path}/full")
+    full = spark.read.schema(schemas.USERS).parquet(f"{path}/full")
+    file_sinks.overwrite_table(edits.emptied(full), f"{path}/emptied")
+    emptied = spark.read.schema(schemas.USERS).parquet(f"{path}/emptied")
+    count = F.count(F.lit(1)).alias("table_rows")
+    return full.agg(F.lit("full").alias("state"), count).unionByName(emptied.agg(F.lit("emptied").alias("state"), count))
+
+
+@query
+def tables_in_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job over several tables of which one is missing: that one is reported, the others go on."""
+    names = ["customer", "orders", "no_such_table", "supplier"]
+    count = F.count(F.lit(1)).alias("table_rows")
+    results, failures = for_each_table(
+        names, lambda name: lake.read_required(spark, f"{sf_dir}/{name}.parquet").agg(F.lit(name).alias("name"), count)
+    )
+    counted = functools.reduce(DataFrame.unionByName, results.values())
+    failed = spark.createDataFrame([(name, None) for name in failures], "name string, table_rows long")
+    return counted.unionByName(failed)
 
 
 # The file path
@@ -461,14 +543,14 @@ def mart_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def device_logs_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{run_folder(spark, 'device_logs')}/logs"
     file_sinks.write_device_logs(views.device_logs(spark, sf_dir), folder)
-    return facts.device_logs_fact(file_sources.scan_device_logs(spark, folder))
+    return facts.device_logs_fact(file_sources.accepted(file_sources.scan_device_logs(spark, folder)))
 
 
 @query
 def payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{run_folder(spark, 'payments')}/files"
-    file_sinks.write_payments(views.payments_of(views.invoices(spark, sf_dir)), folder, "yyyyMM")
-    return facts.payment_fact(file_sources.scan_payments(spark, folder))
+    file_sinks.write_payments(views.payments_of(views.invoices(spark, sf_dir)), folder)
+    return facts.payment_fact(file_sources.accepted(file_sources.scan_payments(spark, folder)))
 
 
 @query
@@ -492,6 +574,11 @@ def subscription_renewals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.subscription_renewals(views.invoices(spark, sf_dir), RENEW_UNTIL)
 
 
+@query
+def bills_with_renewals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.bills_with_renewals(views.invoices(spark, sf_dir), RENEW_UNTIL)
+
+
 # Scalar functions
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streambed import schemas
-from streambed.functions import business, moments, wire
+from streambed.catalog import fixtures
+from streambed.functions import moments, wire
 from streambed.session import prepare
 from streambed.sources import topics
 
@@ -54,16 +55,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the session has cores, spread over all of them.
-
-    The test tables are single files of one row group, so the JSON work on them would be one
-    task. A scan with more splits than cores, as of any large table, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def millis(column: str) -> str:
     return f"unix_millis(CAST({column} AS TIMESTAMP))"
 
@@ -77,8 +68,8 @@ def account(key: str, name: str) -> list[str]:
     ]
 
 
-def customer_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(*account("c_custkey", "c_name"))
+def customer_users(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(*account("c_custkey", "c_name"), *extra)
 
 
 def supplier_users(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
@@ -138,18 +129,20 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payments_of(invoiced: DataFrame) -> DataFrame:
     """One payment per invoice. Pending quarterly ones are booked under a wrong bill, pending
-    yearly ones over their amount, and refunds hit the paid quarterly ones."""
-    from streambed.plans.facts import partner_payments
-
+    yearly ones over their amount, and refunds hit the paid quarterly ones. Paid yearly ones of
+    every fifth user are paid twice, and the status of every seventh user's payments is missing."""
     pending, plan = F.col("status") == "pending", F.col("plan_type")
-    return partner_payments(
-        invoiced,
-        gateway=business.pick(business.GATEWAYS, F.col("user_id")),
-        bank=business.pick(business.BANKS, F.col("id")),
+    twice = (F.col("status") == "paid") & (plan == "yearly") & (F.col("user_id") % 5 == 0)
+    copies = F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    paid = fixtures.partner_payments(
+        invoiced.withColumn("copy", F.explode(copies)),
+        gateway=fixtures.pick(fixtures.GATEWAYS, F.col("user_id")),
+        bank=fixtures.pick(fixtures.BANKS, F.col("id")),
         refunded=(F.col("status") == "paid") & (plan == "quarterly"),
         paid_bill_id=F.when(pending & (plan == "quarterly"), F.col("id") + WRONG_BILLS).otherwise(F.col("id")),
         paid_amount=F.when(pending & (plan == "yearly"), F.col("amount") + 1).otherwise(F.col("amount")),
     )
+    return paid.withColumn("trans_status", F.when(F.col("user_id") % 7 != 0, F.col("trans_status")))
 
 
 def envelopes(df: DataFrame, op: str, at: str, seq: str, **image: str) -> DataFrame:
@@ -163,7 +156,7 @@ def envelopes(df: DataFrame, op: str, at: str, seq: str, **image: str) -> DataFr
     return df.selectExpr("*", f"{op} AS op").selectExpr(
         f"CASE WHEN op IN ('u', 'd') THEN named_struct('id', {image['id']}, {nulls}) END AS before",
         f"CASE WHEN op <> 'd' THEN named_struct({after}) END AS after",
-        f"named_struct('table', 'cam_bills', 'lsn', CAST({seq} AS BIGINT)) AS source",
+        f"named_struct('db', 'shop', 'table', 'cam_bills', 'txId', CAST({seq} AS BIGINT) + 1000, 'lsn', CAST({seq} AS BIGINT)) AS source",
         "op",
         f"{millis(at)} AS ts_ms",
         f"CAST({at} AS TIMESTAMP) AS timestamp",
@@ -191,7 +184,7 @@ def event_envelopes(events: DataFrame) -> DataFrame:
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the first change of a bill: finished ones from the snapshot, others inserted."""
     return envelopes(
-        spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)),
+        table(spark, sf_dir, "orders").select(*ORDER_COLUMNS),
         op="CASE WHEN o_orderstatus = 'F' THEN 'r' ELSE 'c' END",
         at="o_orderdate",
         seq="0",
@@ -209,7 +202,7 @@ def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as later changes of their order's bill: returned and finished ones delete it,
     the seventh line of a new one carries an op nobody knows, the rest update it."""
     return envelopes(
-        spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)),
+        table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS),
         op="""CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'd'
                    WHEN l_returnflag = 'N' AND l_linenumber = 7 THEN 't' ELSE 'u' END""",
         at="l_shipdate",
@@ -227,7 +220,8 @@ def line_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def messages(changes: DataFrame) -> DataFrame:
     """Envelopes as framed topic messages, a tombstone after every delete."""
     text = F.to_json(F.struct("before", "after", "source", "op", "ts_ms"))
-    framed = wire.frame(SCHEMA_ID, text)
+    # Deletes are framed under a later schema.
+    framed = F.when(F.col("op") == "d", wire.frame(SCHEMA_ID + 1, text)).otherwise(wire.frame(SCHEMA_ID, text))
     sent = F.when(F.col("op") == "d", F.array(framed, F.lit(None).cast("binary"))).otherwise(F.array(framed))
     return changes.select(F.explode(sent).alias("value"), "timestamp")
 
@@ -236,7 +230,8 @@ def bronze_rows(changes: DataFrame) -> DataFrame:
     """Envelopes as bronze rows without the way over the wire."""
     from streambed.operators.changelog import flatten_envelope
 
-    data = F.struct("before", "after", "source", "op", "ts_ms")
+    texts = [F.to_json(part).alias(part) for part in ("before", "after", "source")]
+    data = F.struct(*texts, "op", "ts_ms")
     return flatten_envelope(changes.select(data.alias("data"), "timestamp"))
 
 
@@ -250,7 +245,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_envelopes(spread(events(spark, sf_dir).select(*EVENT_COLUMNS)))
+    return event_envelopes(events(spark, sf_dir).select(*EVENT_COLUMNS))
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,11 +292,11 @@ def device_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "timestamp",
         "device_id",
         "event_type",
-        business.log_severity(named).alias("severity"),
-        business.pick(business.FIRMWARE_VERSIONS, F.col("n")).alias("firmware_version"),
+        fixtures.log_severity(named).alias("severity"),
+        fixtures.pick(fixtures.FIRMWARE_VERSIONS, F.col("n")).alias("firmware_version"),
         F.concat(F.lit("192.168.1."), (F.pmod("device_id", F.lit(254)) + 1).cast("string")).alias("ip_address"),
         F.lit(25).alias("fps"),
         F.lit(2048).alias("bitrate_kbps"),
-        business.log_duration(named, 10 + F.pmod("n", F.lit(51))).alias("duration_sec"),
-        business.log_error_code(named, F.col("n")).alias("error_code"),
+        fixtures.log_duration(named, 10 + F.pmod("n", F.lit(51))).alias("duration_sec"),
+        fixtures.log_error_code(named, F.col("n")).alias("error_code"),
     )

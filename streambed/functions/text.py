@@ -13,7 +13,3 @@ PLAIN = "AAAAEEEIIOOOOUUYaaaaeeeiioooouuyAaDdIiUuOoUuAaAaAaAaAaAaAaAaAaAaAaAaEeE
 def fold_accents(text: Column) -> Column:
     """Accents folded, lower case, spaces removed."""
     return F.replace(F.lower(F.translate(text, ACCENTED, PLAIN)), F.lit(" "), F.lit(""))
-
-
-def email_address(name: Column, domain: str) -> Column:
-    return F.concat(fold_accents(name), F.lit("@" + domain))

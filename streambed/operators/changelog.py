@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -18,17 +19,31 @@ DELETE_OP = "d"
 Decoder = Callable[[Column], Column]
 
 
-def json_envelope(row_schema: T.StructType) -> Decoder:
-    """Decode a JSON payload to the envelope struct; a bad payload gives a struct of nulls."""
-    schema = schemas.envelope(row_schema)
-    return lambda payload: F.from_json(payload.cast("string"), schema, {"mode": "PERMISSIVE"})
+def json_envelope() -> Decoder:
+    """Decode a JSON payload to the envelope; a bad payload gives a struct of nulls.
+
+    Both images and ``source`` keep all their fields, declared or not, and numbers up to 38 digits as
+    they were sent; as text the fields stand in order of their names. They get types in silver only.
+    """
+
+    def decode(payload: Column) -> Column:
+        data = F.from_json(payload.cast("string"), schemas.ENVELOPE, {"mode": "PERMISSIVE"})
+        texts = [F.nullif(F.to_json(data[part]), F.lit("null")).alias(part) for part in ("before", "after", "source")]
+        return F.struct(*texts, data["op"].alias("op"), data["ts_ms"].alias("ts_ms"))
+
+    return decode
 
 
 def avro_envelope(schema_json: str) -> Decoder:
     """Decode an Avro payload; needs the spark-avro package on the session."""
     from pyspark.sql.avro.functions import from_avro
 
-    return lambda payload: from_avro(payload, schema_json, {"mode": "PERMISSIVE"})
+    def decode(payload: Column) -> Column:
+        data = from_avro(payload, schema_json, {"mode": "PERMISSIVE"})
+        texts = [F.to_json(data[part]).alias(part) for part in ("before", "after", "source")]
+        return F.struct(*texts, data["op"].alias("op"), data["ts_ms"].alias("ts_ms"))
+
+    return decode
 
 
 def drop_tombstones(raw: DataFrame) -> DataFrame:
@@ -45,22 +60,24 @@ def decode_messages(raw: DataFrame, decode: Decoder) -> DataFrame:
     )
 
 
-def flatten_envelope(decoded: DataFrame) -> DataFrame:
+def flatten_envelope(decoded: DataFrame, pk: str = "id") -> DataFrame:
     """Bronze columns of decoded messages. Narrow: no shuffle, so it also runs on streams."""
+    key = [F.get_json_object(f"data.{image}", f"$.{pk}") for image in ("after", "before")]
     return decoded.select(
-        F.coalesce(F.col("data.after.id"), F.col("data.before.id")).cast("string").alias("id"),
-        F.to_json("data.before").alias("before"),
-        F.to_json("data.after").alias("after"),
-        F.to_json("data.source").alias("source"),
+        F.coalesce(*key).alias("id"),
+        F.col("data.before").alias("before"),
+        F.col("data.after").alias("after"),
+        F.col("data.source").alias("source"),
         F.col("data.op").alias("op"),
         F.col("data.ts_ms").alias("ts_ms"),
-        F.col("data.source.lsn").alias("seq"),
+        F.get_json_object("data.source", "$.lsn").try_cast("long").alias("seq"),
         *moments.calendar_parts(F.col("timestamp")),
     )
 
 
 def to_bronze(raw: DataFrame, decode: Decoder) -> DataFrame:
-    """Raw messages to bronze rows. Undecodable messages stay, as rows whose op is null."""
+    """Raw messages to bronze rows. Undecodable messages stay, as rows whose op is null; ``quarantine``
+    has their bytes."""
     return flatten_envelope(decode_messages(raw, decode))
 
 
@@ -105,18 +122,49 @@ def first_image(changes: DataFrame, order: tuple[str, ...] = ("ts_ms", "seq")) -
     )
 
 
+def variant_type(text: str) -> T.DataType:
+    """The type that a variant's schema text names, e.g. ``OBJECT<id: BIGINT, `odd name`: ARRAY<VOID>>``.
+
+    Values of mixed type and values that are always null become strings.
+    """
+    kind, rest = _variant_type(text)
+    if rest:
+        raise ValueError(f"not a type: {text}")
+    return kind
+
+
+def _variant_type(text: str) -> tuple[T.DataType, str]:
+    """The type at the text's start, and the text after it."""
+    if text.startswith("OBJECT<"):
+        fields, rest = [], text[len("OBJECT<") :]
+        while not rest.startswith(">"):
+            name, rest = _field_name(rest)
+            kind, rest = _variant_type(rest)
+            fields.append(T.StructField(name, kind))
+            rest = rest.removeprefix(", ")
+        return T.StructType(fields), rest[1:]
+    if text.startswith("ARRAY<"):
+        kind, rest = _variant_type(text[len("ARRAY<") :])
+        return T.ArrayType(kind), rest[1:]
+    word = re.match(r"\w+(\([^)]*\))?", text)[0]
+    return T.StringType() if word in ("VOID", "VARIANT") else T.DataType.fromDDL(word), text[len(word) :]
+
+
+def _field_name(text: str) -> tuple[str, str]:
+    """A field's name, quoted or not, and the text after its colon."""
+    match = re.match(r"`((?:[^`]|``)*)`: |([^:]*): ", text)
+    return (match[1].replace("``", "`") if match[1] is not None else match[2]), text[match.end() :]
+
+
 def infer_json_schema(df: DataFrame, column: str) -> T.StructType:
     """Schema of a JSON column, merged over every row; texts that are not JSON are passed over.
 
     The result is one short string, so reading it on the driver is bounded.
     """
-    text = df.agg(
-        F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("schema")
-    ).first()["schema"]
+    text = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("schema")).first()["schema"]
     if not text.startswith("OBJECT<"):
         raise ValueError(f"{column} holds no JSON objects")
-    spark_type = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return df.sparkSession.sql(f"SELECT CAST(NULL AS {spark_type}) AS payload").schema["payload"].dataType
+    return variant_type(text)
 
 
 def row_image(columns: list[str]) -> Column:

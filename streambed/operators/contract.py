@@ -14,9 +14,9 @@ def missing_columns(df: DataFrame, schema: T.StructType) -> list[str]:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The contract's columns in the contract's order and types; a missing column is an error.
 
-    Values that do not fit their type become null rather than failing the whole load.
+    A value that does not fit its type fails the load (ANSI casts); none turns into null.
     """
     missing = missing_columns(df, schema)
     if missing:
         raise ValueError(f"columns missing from the result: {', '.join(missing)}")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

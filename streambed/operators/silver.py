@@ -56,14 +56,33 @@ def inserts_without_update(bronze: DataFrame, pk: str = "id") -> DataFrame:
     return changelog.inserts(bronze).join(keys_with(bronze, pk, "u"), pk, "left_anti")
 
 
+def updates_and_deletes(bronze: DataFrame, pk: str, order: tuple[str, ...] = NEWEST) -> DataFrame:
+    """Per key with an update or a delete: its newest update as ``row`` and whether it was ``deleted``.
+    Changes without a key belong to no row.
+
+    One pass, cut to a row per key in every map task. The rows are grouped by the key and its hash, so
+    that a join on the key shuffles the keys once more by itself: only then can Spark split a hot key
+    on the join's other side.
+    """
+    is_update = F.col("op") == "u"
+    rest = [c for c in bronze.columns if c != pk]
+    newest = F.max_by(F.struct(*rest), F.when(is_update, F.struct(*order)))
+    return (
+        bronze.where(F.col(pk).isNotNull() & (is_update | (F.col("op") == changelog.DELETE_OP)))
+        .groupBy(pk, F.xxhash64(pk).alias("_hash"))
+        .agg(newest.alias("row"), F.bool_or(F.col("op") == changelog.DELETE_OP).alias("deleted"))
+    )
+
+
 def crud_changes(bronze: DataFrame, pk: str = "id", order: tuple[str, ...] = NEWEST) -> DataFrame:
     """The change rows a rebuild keeps: inserts of the keys with neither update nor delete, and
     the latest update of the keys without delete. Replayed inserts all stay, so an insert's key
-    may be hot."""
-    superseded = keys_with(bronze, pk, "u", changelog.DELETE_OP)
-    deleted = keys_with(bronze, pk, changelog.DELETE_OP)
-    kept_inserts = changelog.inserts(bronze).join(superseded, pk, "left_anti")
-    kept_updates = latest_update(bronze, pk, order).join(deleted, pk, "left_anti")
+    may be hot. The log is read twice: once for updates and deletes, once for inserts."""
+    changed = updates_and_deletes(bronze, pk, order)
+    # The condition names every column that the updates need, so that both uses are one aggregate.
+    known = changed.where(F.col("row").isNotNull() | F.col("deleted")).select(F.col(pk).alias("_key"))
+    kept_inserts = changelog.inserts(bronze).join(known, F.col(pk) == F.col("_key"), "left_anti")
+    kept_updates = changed.where(F.col("row").isNotNull() & ~F.col("deleted")).select(pk, "row.*")
     return changelog.union_changes(kept_inserts, kept_updates)
 
 
@@ -74,19 +93,21 @@ def crud_reconstruct(bronze: DataFrame, row_schema: T.StructType, pk: str = "id"
 def newest_changes(changes: DataFrame, row_schema: T.StructType, pk: str, ops: tuple[str, ...]) -> DataFrame:
     """Per key the newest change among ``ops``, as a silver row.
 
-    The key is typed before ranking, so the merge join reuses the ranking's shuffle, and only
+    The image of a write is the row after it; a write without one is no change to a row and stays in
+    bronze only. The key is typed before ranking, so the merge join reuses the ranking's shuffle, and only
     the surviving images are parsed. A change without a readable key belongs to no row; it
     stays in bronze only.
     """
     key_type = row_schema[pk].dataType
+    is_delete = F.col("op") == changelog.DELETE_OP
     ranked = latest_per_key(
         changes.where(F.col("op").isin(*ops)).select(
             F.col("id").try_cast(key_type).alias("_key"),
-            changelog.after_or_before().alias("_image"),
+            F.when(is_delete, changelog.after_or_before()).otherwise(F.col("after")).alias("_image"),
             "op",
             "ts_ms",
             "seq",
-        ).where(F.col("_key").isNotNull()),
+        ).where(F.col("_key").isNotNull() & (is_delete | F.col("_image").isNotNull())),
         "_key",
     )
     parsed = ranked.withColumn("_payload", F.from_json("_image", row_schema))
@@ -95,7 +116,7 @@ def newest_changes(changes: DataFrame, row_schema: T.StructType, pk: str, ops: t
         *[F.col("_payload")[c].alias(c) for c in row_schema.names if c != pk],
         F.col("ts_ms").alias("_ts_ms"),
         F.col("seq").alias("_seq"),
-        (F.col("op") == changelog.DELETE_OP).alias("_deleted"),
+        is_delete.alias("_deleted"),
     )
 
 
@@ -121,10 +142,18 @@ def merge_changes(target: DataFrame, changes: DataFrame, row_schema: T.StructTyp
     return overlay(target.select(*columns), source.select(*columns), pk, take_source)
 
 
+def as_silver(rows: DataFrame) -> DataFrame:
+    """Plain rows as silver rows of no position: any change of their key is newer."""
+    hidden = {"_ts_ms": F.lit(None), "_seq": F.lit(None), "_deleted": F.lit(False)}
+    return rows.select("*", *[hidden[f.name].cast(f.dataType).alias(f.name) for f in HIDDEN.fields])
+
+
 def replica_upsert(target: DataFrame, changes: DataFrame, row_schema: T.StructType, pk: str = "id") -> DataFrame:
-    """Upsert by key from the newest after-image; deletes are ignored and their rows stay."""
-    source = newest_changes(changes, row_schema, pk, changelog.WRITE_OPS).select(*row_schema.names)
-    return overlay(target.select(*row_schema.names), source, pk, F.col(f"s.{pk}").isNotNull())
+    """Upsert silver rows by key from the newest after-image; deletes are ignored and their rows stay.
+
+    The merge's own position guard holds: an older change never overwrites a newer row.
+    """
+    return merge_changes(target, changes.where(F.col("op").isin(*changelog.WRITE_OPS)), row_schema, pk)
 
 
 def absent_rows(target: DataFrame, new: DataFrame, pk: str, order: tuple[str, ...]) -> DataFrame:
@@ -138,8 +167,3 @@ def insert_if_absent(target: DataFrame, new: DataFrame, pk: str, order: tuple[st
     """Insert, existing key wins. The target's wide rows are not shuffled."""
     fresh = absent_rows(target, new, pk, order).select(*target.columns)
     return target.unionByName(fresh)
-
-
-def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Append rows that may have new columns; rows without a column get null there."""
-    return old.unionByName(new, allowMissingColumns=True)

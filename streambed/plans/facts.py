@@ -10,7 +10,7 @@ from streambed.operators.joins import full_join_fan_out
 
 
 def device_logs_fact(logs: DataFrame) -> DataFrame:
-    """Scanned log rows with event time and date."""
+    """Scanned log rows with event time and date, and the scan's folder columns, which readers prune by."""
     event_time = moments.from_millis(F.col("timestamp"))
     return logs.select(
         "event_id",
@@ -25,31 +25,10 @@ def device_logs_fact(logs: DataFrame) -> DataFrame:
         "bitrate_kbps",
         "duration_sec",
         "error_code",
+        *[c for c in ("year", "month") if c in logs.columns],
     )
 
 
-def partner_payments(bills: DataFrame, **rules) -> DataFrame:
-    """Payment rows for bills, as the payment partner reports them.
-
-    ``rules`` are Columns over the bill: gateway, bank, refunded, and optionally paid_bill_id
-    and paid_amount where the partner's figures differ from the bill's.
-    """
-    paid_at = moments.from_millis(F.col("updated_at"))
-    amount = rules.get("paid_amount", F.col("amount")).cast("decimal(15,2)")
-    booked = bills.select(
-        rules.get("paid_bill_id", F.col("id")).alias("bill_id"),
-        "user_id",
-        rules["gateway"].alias("payment_gateway"),
-        amount.alias("trans_amount"),
-        business.partner_fee(amount).alias("partner_fee"),
-        paid_at.alias("trans_time"),
-        business.payment_status(F.col("status"), rules["refunded"]).alias("trans_status"),
-        rules["bank"].alias("bank_code"),
-    )
-    trans_id = business.transaction_id(F.col("payment_gateway"), F.col("trans_time"), F.col("bill_id"))
-    return booked.select(trans_id.alias("partner_trans_id"), "*")
-
-
 def payment_fact(payments: DataFrame) -> DataFrame:
     """Scanned payment rows with typed money and text times."""
     return payments.select(
@@ -90,7 +69,8 @@ def reconcile_payments(bills: DataFrame, payments: DataFrame) -> DataFrame:
         .when(F.col("paid_id").isNull(), "missing_payment")
         .when(~F.col("billed_amount").eqNullSafe(F.col("trans_amount")), "amount_mismatch")
         .when(
-            business.expected_payment_status(F.col("bill_status")) != F.col("trans_status"), "status_mismatch"
+            ~business.expected_payment_status(F.col("bill_status")).eqNullSafe(F.col("trans_status")),
+            "status_mismatch",
         )
         .otherwise("matched")
     )
@@ -108,16 +88,17 @@ def reconcile_payments(bills: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def reconcile_summary(reconciled: DataFrame) -> DataFrame:
-    """Rows, amount and fee by gateway and outcome."""
-    def money(column: str):
-        return F.coalesce(F.sum(F.col(column).cast("decimal(15,2)")), F.lit(0)).cast("double")
-
-    return reconciled.groupBy("payment_gateway", "outcome").agg(
+    """Rows, amount and fee by gateway and outcome. A bill's amount counts once, however many payments
+    of that gateway and outcome it has."""
+    cents = lambda column: F.col(column).cast("decimal(15,2)")
+    per_bill = reconciled.groupBy("payment_gateway", "outcome", "bill_id").agg(
         F.count(F.lit(1)).alias("payments"),
-        money("billed_amount").alias("billed_amount"),
-        money("paid_amount").alias("paid_amount"),
-        money("partner_fee").alias("partner_fee"),
+        F.max(cents("billed_amount")).alias("billed_amount"),
+        F.sum(cents("paid_amount")).alias("paid_amount"),
+        F.sum(cents("partner_fee")).alias("partner_fee"),
     )
+    money = [F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("billed_amount", "paid_amount", "partner_fee")]
+    return per_bill.groupBy("payment_gateway", "outcome").agg(F.sum("payments").alias("payments"), *money)
 
 
 def enrich_logs(logs: DataFrame, devices: DataFrame) -> DataFrame:
@@ -185,3 +166,22 @@ def subscription_renewals(bills: DataFrame, end_date: str) -> DataFrame:
         "renewal_no",
         F.date_add("start", F.col("days") * F.col("renewal_no")).cast("string").alias("renewal_date"),
     )
+
+
+def bills_with_renewals(bills: DataFrame, end_date: str) -> DataFrame:
+    """The bill table of the subscriptions: every first bill as number 0, and the renewals of the paid ones."""
+    columns = ["first_bill_id", "renewal_no", "user_id", "device_id", "amount", "plan_type", "status", "bill_date"]
+    first = bills.select(
+        F.col("id").alias("first_bill_id"),
+        F.lit(0).alias("renewal_no"),
+        "user_id",
+        "device_id",
+        F.col("amount").cast("double").alias("amount"),
+        "plan_type",
+        "status",
+        moments.day_of_millis(F.col("updated_at")).cast("string").alias("bill_date"),
+    )
+    renewed = subscription_renewals(bills, end_date).withColumns(
+        {"status": F.lit("paid"), "bill_date": F.col("renewal_date")}
+    )
+    return first.select(*columns).unionByName(renewed.select(*columns))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import sys
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,17 +17,15 @@ from streambed.operators import changelog, contract, latest
 from streambed.plans import marts
 from streambed.session import build_session
 from streambed.sinks.files import export_mart
+from streambed.sinks import silver_table as st
 from streambed.sinks.silver_table import SilverTable, read_current
 from streambed.sources import lake, topics
-from streambed.streaming.bronze import ALL_AVAILABLE, EVERY_TEN_MINUTES, start_bronze
+from streambed.streaming.bronze import ALL_AVAILABLE, EVERY_TEN_MINUTES, start_bronze, start_quarantine
 from streambed.streaming.silver import start_silver
 from streambed.streaming.supervise import for_each_table, supervise
 
 log = logging.getLogger(__name__)
 
-# Folders per silver table unless the first run says otherwise; a bucket should hold about a gigabyte.
-BUCKETS = 64
-
 # The sort keys of the exported marts.
 MART_KEYS = {
     "user_360": ["user_id"],
@@ -35,8 +34,8 @@ MART_KEYS = {
 }
 
 
-def silver_table(root: str, name: str, buckets: int = BUCKETS) -> SilverTable:
-    return SilverTable(f"{root}/silver/{name}", schemas.TABLES[name], buckets=buckets)
+def silver_table(root: str, name: str) -> SilverTable:
+    return SilverTable(f"{root}/silver/{name}", schemas.TABLES[name])
 
 
 def run_bronze(
@@ -48,18 +47,25 @@ def run_bronze(
     trigger: dict | None = None,
     max_offsets: int | None = None,
 ) -> dict:
-    """One stream per table, under supervision. ``avro_schemas`` maps a table to its Avro schema
-    text; a table without one carries JSON envelopes. ``max_offsets`` bounds a micro-batch."""
+    """Per table a stream to bronze and one that writes undecodable messages aside, under supervision.
+
+    ``avro_schemas`` maps a table to its Avro schema text; a table without one carries JSON envelopes.
+    ``max_offsets`` bounds a micro-batch. Returns what failed to start, by table.
+    """
 
     def start(name: str):
         avro = (avro_schemas or {}).get(name)
-        decode = changelog.avro_envelope(avro) if avro else changelog.json_envelope(schemas.TABLES[name])
+        decode = changelog.avro_envelope(avro) if avro else changelog.json_envelope()
         raw = topics.kafka_topic(spark, servers, f"{prefix}.{name}", max_offsets)
         paths = f"{root}/bronze/{name}", f"{root}/checkpoints/bronze_{name}"
-        return start_bronze(raw, decode, *paths, name=f"stream_{name}", trigger=trigger)
+        aside = f"{root}/quarantine/{name}", f"{root}/checkpoints/quarantine_{name}"
+        return [
+            start_bronze(raw, decode, *paths, name=f"stream_{name}", trigger=trigger),
+            start_quarantine(raw, decode, *aside, name=f"quarantine_{name}", trigger=trigger),
+        ]
 
     started, failures = for_each_table(schemas.TABLES, start)
-    supervise(spark, list(started.values()))
+    supervise(spark, [query for queries in started.values() for query in queries])
     return failures
 
 
@@ -68,14 +74,12 @@ def run_silver(
     root: str,
     continuous: bool = False,
     max_files: int | None = None,
-    buckets: int = BUCKETS,
 ) -> dict:
     """Merge what bronze received since the last run into silver, table by table.
 
     The file stream's checkpoint knows which bronze files are done, so a run reads the new
     ones only, including late records that went to the folder of an older day. ``max_files``
-    bounds a merge, so that the first run over a long history goes in several. ``buckets`` is
-    fixed by a table's first run.
+    bounds a merge, so that the first run over a long history goes in several.
     """
 
     def start(name: str):
@@ -85,7 +89,7 @@ def run_silver(
         bronze = topics.file_stream(spark, path, schemas.BRONZE, max_files)
         trigger = EVERY_TEN_MINUTES if continuous else ALL_AVAILABLE
         checkpoint = f"{root}/checkpoints/silver_{name}"
-        query = start_silver(bronze, silver_table(root, name, buckets), checkpoint, f"silver_{name}", trigger)
+        query = start_silver(bronze, silver_table(root, name), checkpoint, f"silver_{name}", trigger)
         if not continuous:
             query.awaitTermination()
         return query
@@ -98,7 +102,7 @@ def run_silver(
 def read_silver(spark: SparkSession, root: str, name: str, required: bool = False) -> DataFrame:
     """Live silver rows; an optional table that does not exist yet has none."""
     table = silver_table(root, name)
-    if required and not lake.table_exists(spark, table.path):
+    if required and not st.exists(spark, table):
         raise lake.MissingTable(table.path)
     return read_current(spark, table)
 
@@ -154,6 +158,7 @@ def run_check(spark: SparkSession, root: str, layer: str = "silver") -> dict:
 
 
 def main(argv: list[str] | None = None) -> None:
+    """Run one job; the exit code is 1 if any table failed."""
     parser = argparse.ArgumentParser(description="change-data-capture lakehouse jobs")
     parser.add_argument("job", choices=["bronze", "silver", "gold", "check"])
     parser.add_argument("--root", required=True, help="lake folder all executors can reach")
@@ -162,26 +167,31 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--avro-schema", action="append", default=[], metavar="TABLE=FILE", help="bronze")
     parser.add_argument("--max-offsets", type=int, help="bronze: most messages per micro-batch and table")
     parser.add_argument("--max-files", type=int, help="silver: most bronze files per merge")
-    parser.add_argument("--buckets", type=int, default=BUCKETS, help="silver: folders per table, fixed at first")
     parser.add_argument("--continuous", action="store_true", help="silver: keep merging every ten minutes")
     parser.add_argument("--report-date", default=date.today().isoformat(), help="gold")
     parser.add_argument("--layer", choices=["bronze", "silver"], default="silver", help="check")
     args = parser.parse_args(argv)
 
     spark = build_session(f"streambed-{args.job}")
+    failed: dict = {}
     if args.job == "bronze":
         avro = {}
         for entry in args.avro_schema:
             table, _, file = entry.partition("=")
             with open(file, encoding="utf-8") as handle:
                 avro[table] = handle.read()
-        run_bronze(spark, args.root, args.servers, args.prefix, avro, max_offsets=args.max_offsets)
+        failed = run_bronze(spark, args.root, args.servers, args.prefix, avro, max_offsets=args.max_offsets)
     elif args.job == "silver":
-        run_silver(spark, args.root, args.continuous, args.max_files, args.buckets)
+        failed = run_silver(spark, args.root, args.continuous, args.max_files)
     elif args.job == "gold":
         print(run_gold(spark, args.root, args.report_date))
     else:
-        run_check(spark, args.root, args.layer)
+        shown = run_check(spark, args.root, args.layer)
+        failed = {name: result for name, result in shown.items() if isinstance(result, Exception)}
+    if failed:
+        for name, error in failed.items():
+            log.error("%s failed: %s", name, error)
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -15,6 +15,7 @@ from streambed.functions import business, moments
 from streambed.operators.joins import left_join_fan_out
 
 MONEY = "decimal(15,2)"
+TOTAL = "decimal(38,2)"
 
 
 def run_time(as_of: str | None) -> Column:
@@ -40,7 +41,7 @@ def bill_columns(bills: DataFrame) -> DataFrame:
         F.col("id").try_cast("long").alias("bill_id"),
         F.col("user_id").try_cast("long").alias("bill_user_id"),
         F.col("device_id").try_cast("long").alias("bill_device_id"),
-        F.col("amount").try_cast(MONEY).alias("amount"),
+        F.col("amount").cast(MONEY).alias("amount"),
         "plan_type",
         F.col("status").alias("bill_status"),
         F.col("updated_at").try_cast("long").alias("billed_at"),
@@ -107,11 +108,11 @@ def user_360(users: DataFrame, devices: DataFrame, bills: DataFrame, as_of: str
             "user_id",
             "user_name",
             "email",
-            zero_if_null("total_devices").cast("int").alias("total_devices"),
-            zero_if_null("online_devices").cast("int").alias("online_devices"),
-            zero_if_null("offline_devices").cast("int").alias("offline_devices"),
-            zero_if_null("total_bills").cast("int").alias("total_bills"),
-            F.round(zero_if_null("total_spent"), 2).cast("double").alias("total_spent"),
+            zero_if_null("total_devices").alias("total_devices"),
+            zero_if_null("online_devices").alias("online_devices"),
+            zero_if_null("offline_devices").alias("offline_devices"),
+            zero_if_null("total_bills").alias("total_bills"),
+            zero_if_null("total_spent").cast(TOTAL).alias("total_spent"),
             business.vip_tier(F.col("total_spent")).alias("vip_tier"),
             F.lit("monthly").alias("primary_plan"),
             run_time(as_of).alias("updated_at"),
@@ -120,8 +121,8 @@ def user_360(users: DataFrame, devices: DataFrame, bills: DataFrame, as_of: str
 
 
 def owned_devices(devices: DataFrame, users: DataFrame) -> DataFrame:
-    """Devices with their owner; users are unique, so rows are kept one to one."""
-    return device_columns(devices).join(user_columns(users), F.col("owner_id") == F.col("user_id"), "left")
+    """Device rows with their owner; users are unique, so rows are kept one to one."""
+    return devices.join(user_columns(users), F.col("owner_id") == F.col("user_id"), "left")
 
 
 def device_mart_columns(as_of: str | None) -> list[Column]:
@@ -133,7 +134,7 @@ def device_mart_columns(as_of: str | None) -> list[Column]:
         zero_if_null("owner_id").alias("owner_id"),
         F.coalesce("user_name", F.lit("Unassigned")).alias("owner_name"),
         F.coalesce("email", F.lit("N/A")).alias("owner_email"),
-        F.round(zero_if_null("amount"), 2).cast("double").alias("bill_amount"),
+        zero_if_null("amount").cast(MONEY).alias("bill_amount"),
         F.coalesce("plan_type", F.lit("none")).alias("plan_type"),
         F.coalesce("bill_status", F.lit("unbilled")).alias("bill_status"),
         run_time(as_of).alias("updated_at"),
@@ -141,10 +142,13 @@ def device_mart_columns(as_of: str | None) -> list[Column]:
 
 
 def device_performance(devices: DataFrame, users: DataFrame, bills: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Every device with its owner, one row per bill; a device without bills has one row."""
+    """Every device with its owner, one row per bill; a device without bills has one row.
+
+    Bare device rows are fanned out first and meet their owners once, after that.
+    """
     billed = bill_columns(bills).select("bill_device_id", "amount", "plan_type", "bill_status")
-    joined = left_join_fan_out(owned_devices(devices, users), billed, "device_id", "bill_device_id")
-    return joined.select(*device_mart_columns(as_of))
+    joined = left_join_fan_out(device_columns(devices), billed, "device_id", "bill_device_id")
+    return owned_devices(joined, users).select(*device_mart_columns(as_of))
 
 
 def newest_bills(bills: DataFrame) -> DataFrame:
@@ -158,7 +162,7 @@ def device_performance_latest(
     devices: DataFrame, users: DataFrame, bills: DataFrame, as_of: str | None = None
 ) -> DataFrame:
     """Every device once, with its newest bill. Bills are reduced first, so nothing fans out."""
-    joined = owned_devices(devices, users).join(
+    joined = owned_devices(device_columns(devices), users).join(
         newest_bills(bills), F.col("device_id") == F.col("bill_device_id"), "left"
     )
     return joined.select(*device_mart_columns(as_of))
@@ -166,7 +170,7 @@ def device_performance_latest(
 
 def share(part: Column, whole: Column) -> Column:
     """part / whole rounded to 2 places, 0 when there is no whole."""
-    return F.when(whole > 0, F.round(part / whole, 2)).otherwise(F.lit(0)).cast("double")
+    return F.when(whole > 0, F.round(part / whole, 2)).otherwise(F.lit(0)).cast(TOTAL)
 
 
 def executive_kpi(
@@ -192,13 +196,13 @@ def executive_kpi(
     added = reduce(DataFrame.unionByName, parts).agg(*[F.sum(n).cast(t).alias(n) for n, t in totals.items()])
     return added.select(
         F.lit(report_date).alias("report_date"),
-        F.col("users").cast("int").alias("total_registered_users"),
-        F.col("devices").cast("int").alias("total_active_devices"),
-        F.col("online").cast("int").alias("online_devices"),
-        share(F.col("online").cast("decimal(20,0)") * 100, F.col("devices")).alias("device_online_ratio_pct"),
-        F.col("revenue").cast("double").alias("total_revenue"),
-        F.col("paid").cast("int").alias("total_paid_transactions"),
-        share(F.col("revenue").cast("decimal(28,2)"), F.col("users")).alias("avg_revenue_per_user"),
+        F.col("users").alias("total_registered_users"),
+        F.col("devices").alias("total_active_devices"),
+        F.col("online").alias("online_devices"),
+        share(F.col("online").cast("decimal(20,0)") * 100, F.col("devices")).cast("double").alias("device_online_ratio_pct"),
+        F.col("revenue").alias("total_revenue"),
+        F.col("paid").alias("total_paid_transactions"),
+        share(F.col("revenue"), F.col("users")).alias("avg_revenue_per_user"),
         run_time(as_of).alias("updated_at"),
     )
 

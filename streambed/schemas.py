@@ -1,4 +1,4 @@
-"""Declared schemas of every table. Money is DECIMAL(15,2) from source to mart."""
+"""Declared schemas of every table. Money is DECIMAL(15,2), totals of money are DECIMAL(38,2)."""
 
 from __future__ import annotations
 
@@ -15,9 +15,10 @@ TYPES = {
     "BINARY": T.BinaryType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
+    "VARIANT": T.VariantType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "MONEY": T.DecimalType(15, 2),
-    "BILL_MONEY": T.DecimalType(12, 2),
+    "TOTAL": T.DecimalType(38, 2),
 }
 
 
@@ -39,7 +40,8 @@ BILLS = columns(
 TABLES = {"users": USERS, "devices": DEVICES, "cam_bills": BILLS}
 
 RAW_MESSAGE = columns("value BINARY, timestamp TIMESTAMP")
-SOURCE_INFO = columns("table STRING, lsn BIGINT")
+# The change envelope of a JSON message; images and source are of any shape.
+ENVELOPE = columns("before VARIANT, after VARIANT, source VARIANT, op STRING, ts_ms BIGINT")
 
 # The nine columns of a change row plus `seq`, the position that breaks ts_ms ties.
 BRONZE = columns(
@@ -59,19 +61,19 @@ PAYMENTS = columns(
 )
 
 USER_360 = columns(
-    "user_id BIGINT, user_name STRING, email STRING, total_devices INT, online_devices INT, "
-    "offline_devices INT, total_bills INT, total_spent MONEY, vip_tier STRING, "
+    "user_id BIGINT, user_name STRING, email STRING, total_devices BIGINT, online_devices BIGINT, "
+    "offline_devices BIGINT, total_bills BIGINT, total_spent TOTAL, vip_tier STRING, "
     "primary_plan STRING, updated_at STRING"
 )
 DEVICE_PERFORMANCE = columns(
     "device_id BIGINT, device_name STRING, device_type STRING, status STRING, owner_id BIGINT, "
-    "owner_name STRING, owner_email STRING, bill_amount BILL_MONEY, plan_type STRING, "
+    "owner_name STRING, owner_email STRING, bill_amount MONEY, plan_type STRING, "
     "bill_status STRING, updated_at STRING"
 )
 EXECUTIVE_KPI = columns(
-    "report_date DATE, total_registered_users INT, total_active_devices INT, online_devices INT, "
-    "device_online_ratio_pct FLOAT, total_revenue MONEY, total_paid_transactions INT, "
-    "avg_revenue_per_user MONEY, updated_at STRING"
+    "report_date DATE, total_registered_users BIGINT, total_active_devices BIGINT, online_devices BIGINT, "
+    "device_online_ratio_pct FLOAT, total_revenue TOTAL, total_paid_transactions BIGINT, "
+    "avg_revenue_per_user TOTAL, updated_at STRING"
 )
 MARTS = {
     "user_360": USER_360,
@@ -79,14 +81,3 @@ MARTS = {
     "daily_executive_kpi": EXECUTIVE_KPI,
 }
 
-
-def envelope(row: T.StructType) -> T.StructType:
-    """The change envelope around one table's row type."""
-    return (
-        T.StructType()
-        .add("before", row)
-        .add("after", row)
-        .add("source", SOURCE_INFO)
-        .add("op", T.StringType())
-        .add("ts_ms", T.LongType())
-    )

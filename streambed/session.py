@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # Runtime settings every operator relies on; all can be set on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -50,5 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new, never reused folder below the shared one."""
-    return f"{shared_folder(spark)}/streambed/{name}-{uuid.uuid4().hex}"
+    """A new, never reused folder below the shared one, removed when the driver's JVM ends."""
+    folder = f"{shared_folder(spark)}/streambed/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder

@@ -36,22 +36,18 @@ def write_payments(payments: DataFrame, folder: str, pattern: str = "yyyyMMdd")
 
 
 def export_mart(df: DataFrame, path: str, fmt: str = "json", mode: str = "append", **options: str) -> int:
-    """Write a mart straight from the executors and return its row count from the same pass.
+    """Write a mart straight from the executors and return its row count.
 
-    An empty result never replaces what is there.
+    An empty result is not written: it neither replaces what is there nor adds an empty file. The mart
+    is kept while it is looked at and written, so that it is computed once.
     """
-    if mode == "overwrite" and df.isEmpty():
-        return 0
-    rows = Observation("export")
-    counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
-    counted.write.format(fmt).mode(mode).options(**options).save(path)
-    return rows.get["rows"]
-
-
-def export_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 5000, **options: str) -> int:
-    """Append a mart to a database table, one connection and batched inserts per partition."""
-    rows = Observation("export")
-    counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.format("jdbc").mode("append").options(url=url, dbtable=table, **options)
-    writer.option("batchsize", batch_size).save()
-    return rows.get["rows"]
+    mart = df.persist()
+    try:
+        if mart.isEmpty():
+            return 0
+        rows = Observation("export")
+        counted = mart.observe(rows, F.count(F.lit(1)).alias("rows"))
+        counted.write.format(fmt).mode(mode).options(**options).save(path)
+        return rows.get["rows"]
+    finally:
+        mart.unpersist()

@@ -1,126 +1,78 @@
-"""Silver tables on Parquet, folders ``bucket=N`` by a hash of the key.
+"""Silver tables on Parquet, as numbered snapshots below ``snapshots/``.
 
-A merge reads and rewrites the touched buckets only. The merged buckets are first written
-whole below ``_staging/``, then put in place with a dynamic partition overwrite, then marked as
-applied. A job that dies in between finishes the staged run when it starts again, and a run id
-that is already applied does nothing, so a replayed batch is harmless.
+A merge reads the newest finished snapshot and writes the merged rows once, as the next one. Spark's
+own ``_SUCCESS`` file finishes a snapshot, so readers see a whole merge or none of it, and what a
+stopped job left behind is never read. The snapshot before the newest is kept for readers that have
+begun on it; older ones are removed.
+
+Nothing remembers which batches were merged: a change carries its position, and one that is not newer
+than the stored row changes nothing. Batches may so be replayed, repeated or come from a stream that
+was started anew.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from streambed.operators import silver
 from streambed.sources import lake
 
-BUCKET = "bucket"
-
 
 @dataclass(frozen=True)
 class SilverTable:
     path: str
     row_schema: T.StructType
     pk: str = "id"
-    buckets: int = 64
 
     @property
     def schema(self) -> T.StructType:
         return silver.silver_schema(self.row_schema)
 
-    def bucket_of(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key.try_cast(self.row_schema[self.pk].dataType)), F.lit(self.buckets)).cast("int")
+    def snapshot(self, number: int) -> str:
+        return f"{self.path}/snapshots/{number:012d}"
+
+
+def _numbers(spark: SparkSession, table: SilverTable) -> list[int]:
+    return [int(name) for name in lake.child_names(spark, f"{table.path}/snapshots") if name.isdigit()]
+
+
+def finished(spark: SparkSession, table: SilverTable) -> list[int]:
+    """The numbers of the whole snapshots, two or three at most."""
+    return [n for n in _numbers(spark, table) if lake.path_exists(spark, f"{table.snapshot(n)}/_SUCCESS")]
+
+
+def exists(spark: SparkSession, table: SilverTable) -> bool:
+    return bool(finished(spark, table))
 
 
 def read_rows(spark: SparkSession, table: SilverTable) -> DataFrame:
-    """All stored rows, the hidden columns and the bucket included."""
-    schema = T.StructType(table.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-    if not lake.table_exists(spark, table.path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(table.path)
+    """All stored rows, the hidden columns included."""
+    whole = finished(spark, table)
+    if not whole:
+        return spark.createDataFrame([], table.schema)
+    return spark.read.schema(table.schema).parquet(table.snapshot(whole[-1]))
 
 
 def read_current(spark: SparkSession, table: SilverTable) -> DataFrame:
-    return silver.current_rows(read_rows(spark, table).drop(BUCKET))
-
-
-def check_buckets(spark: SparkSession, table: SilverTable) -> None:
-    """The bucket count is fixed by the first write."""
-    known = [n for n in lake.child_names(spark, f"{table.path}/_buckets")]
-    if not known:
-        lake.touch(spark, f"{table.path}/_buckets/{table.buckets}")
-    elif known != [str(table.buckets)]:
-        raise ValueError(f"{table.path} has {known[0]} buckets, not {table.buckets}")
-
-
-def applied_runs(spark: SparkSession, table: SilverTable) -> list[str]:
-    return lake.child_names(spark, f"{table.path}/_applied")
-
-
-def publish(spark: SparkSession, table: SilverTable, run_id: str) -> None:
-    """Put a staged run's buckets in place. Doing it twice gives the same table."""
-    staging = f"{table.path}/_staging/{run_id}"
-    schema = T.StructType(table.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-    staged = spark.read.schema(schema).parquet(staging)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(table.path)
-    )
-    lake.touch(spark, f"{table.path}/_applied/{run_id}")
-    target, fs = lake.hadoop_path(spark, staging)
-    fs.delete(target, True)
-
-
-def finish_staged(spark: SparkSession, table: SilverTable) -> None:
-    """Publish what a stopped job had staged completely."""
-    done = set(applied_runs(spark, table))
-    for run_id in lake.child_names(spark, f"{table.path}/_staging"):
-        if run_id not in done and lake.path_exists(spark, f"{table.path}/_staging/{run_id}/_SUCCESS"):
-            publish(spark, table, run_id)
-
-
-def apply_changes(spark: SparkSession, table: SilverTable, changes: DataFrame, run_id: str) -> None:
-    """Merge a change batch (bronze rows) into the table, once per run id."""
-    check_buckets(spark, table)
-    finish_staged(spark, table)
-    if run_id in applied_runs(spark, table):
-        return
-    bucket = table.bucket_of(F.col("id"))
-    # At most `buckets` small numbers reach the driver.
-    touched = [r[BUCKET] for r in changes.select(bucket.alias(BUCKET)).distinct().collect() if r[BUCKET] is not None]
-    if not touched:
-        return
-    stored = read_rows(spark, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    merged = silver.merge_changes(stored, changes, table.row_schema, table.pk)
-    (
-        merged.withColumn(BUCKET, table.bucket_of(F.col(table.pk)))
-        .hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .partitionBy(BUCKET)
-        .parquet(f"{table.path}/_staging/{run_id}")
-    )
-    publish(spark, table, run_id)
-
-
-def apply_changes_delta(spark: SparkSession, path: str, changes: DataFrame, row_schema: T.StructType, pk: str = "id") -> None:
-    """The same merge on a Delta table; needs the Delta package on the session."""
-    from delta.tables import DeltaTable
-
-    source = silver.newest_changes(changes, row_schema, pk, ("c", "r", "u", "d"))
-    if not DeltaTable.isDeltaTable(spark, path):
-        source.write.format("delta").save(path)
-        return
-    newer = "struct(s._ts_ms, s._seq) >= struct(t._ts_ms, t._seq)"
-    (
-        DeltaTable.forPath(spark, path)
-        .alias("t")
-        .merge(source.alias("s"), f"t.{pk} = s.{pk}")
-        .whenMatchedUpdateAll(condition=newer)
-        .whenNotMatchedInsertAll()
-        .execute()
-    )
+    return silver.current_rows(read_rows(spark, table))
+
+
+def apply_changes(spark: SparkSession, table: SilverTable, changes: DataFrame) -> None:
+    """Merge a change batch (bronze rows) into the table: one read of the batch, one write of the table."""
+    batch = changes.persist()
+    try:
+        if batch.isEmpty():
+            return
+        merged = silver.merge_changes(read_rows(spark, table), batch, table.row_schema, table.pk)
+        # Of two writers at once the second finds its folder taken and fails; its stream tries again.
+        merged.write.mode("errorifexists").parquet(table.snapshot(max(_numbers(spark, table), default=0) + 1))
+    finally:
+        batch.unpersist()
+    whole = finished(spark, table)
+    for number in _numbers(spark, table):
+        if number < whole[-1] and number not in whole[-2:]:
+            folder, fs = lake.hadoop_path(spark, table.snapshot(number))
+            fs.delete(folder, True)

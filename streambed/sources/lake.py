@@ -28,11 +28,6 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    target, fs = hadoop_path(spark, path)
-    fs.create(target, True).close()
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path holds anything but hidden files."""
     return any(not name.startswith(("_", ".")) for name in child_names(spark, path))

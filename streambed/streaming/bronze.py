@@ -34,3 +34,25 @@ def start_bronze(
         .trigger(**(trigger or EVERY_TEN_MINUTES))
     )
     return (writer.queryName(name) if name else writer).start(path)
+
+
+def start_quarantine(
+    raw: DataFrame,
+    decode: changelog.Decoder,
+    path: str,
+    checkpoint: str,
+    name: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Write the bytes and the time of the messages that do not decode aside, for repair and replay.
+
+    A stream of its own, so that both outputs are exactly once; the topic is read twice.
+    """
+    writer = (
+        changelog.quarantine(raw, decode)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or EVERY_TEN_MINUTES))
+    )
+    return (writer.queryName(name) if name else writer).start(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from streambed.operators.changelog import WRITE_OPS
 from streambed.sinks.silver_table import SilverTable, apply_changes
 from streambed.streaming.bronze import EVERY_TEN_MINUTES
 
@@ -12,10 +13,10 @@ from streambed.streaming.bronze import EVERY_TEN_MINUTES
 def start_silver(
     bronze: DataFrame, table: SilverTable, checkpoint: str, name: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Merge every micro-batch under its batch id; a batch replayed after a restart is skipped."""
+    """Merge every micro-batch; one that comes again, after a restart or from a new checkpoint, changes nothing."""
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        apply_changes(batch.sparkSession, table, batch, f"batch-{batch_id:012d}")
+    def merge(batch: DataFrame, _: int) -> None:
+        apply_changes(batch.sparkSession, table, batch)
 
     writer = (
         bronze.writeStream.foreachBatch(merge)
@@ -29,6 +30,4 @@ def start_replica(
     bronze: DataFrame, table: SilverTable, checkpoint: str, name: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Like ``start_silver`` but deletes are ignored, so deleted rows stay in the replica."""
-    from streambed.operators.changelog import WRITE_OPS
-
     return start_silver(bronze.where(bronze["op"].isin(*WRITE_OPS)), table, checkpoint, name, trigger)

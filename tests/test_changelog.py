@@ -13,7 +13,7 @@ def envelope(key, op="c", ts=5, **fields):
 
 
 def bronze(spark, texts, **at):
-    return changelog.to_bronze(raw_messages(spark, texts, **at), changelog.json_envelope(ROW))
+    return changelog.to_bronze(raw_messages(spark, texts, **at), changelog.json_envelope())
 
 
 def test_tombstones_are_dropped_and_columns_flattened(spark):
@@ -35,7 +35,7 @@ def test_bad_and_short_messages_are_kept_and_can_be_quarantined(spark):
     texts = [envelope(1, name="a"), "{bad", b"\x00\x01", broken]
     got = bronze(spark, texts)
     assert got.count() == 4 and got.where("op IS NULL").count() == 3
-    aside = changelog.quarantine(raw_messages(spark, texts), changelog.json_envelope(ROW)).collect()
+    aside = changelog.quarantine(raw_messages(spark, texts), changelog.json_envelope()).collect()
     assert sorted(bytes(r["value"]) for r in aside) == [b"\x00\x00\x00\x00\x09{bad", b"\x00\x01", broken]
 
 
@@ -66,6 +66,37 @@ def test_inferred_schema_sees_every_row(spark):
     assert schema["amount"].dataType.simpleString().startswith("decimal")
 
 
+def test_bronze_keeps_every_field_and_digit(spark):
+    source = '{"db":"shop","lsn":3,"schema":"public","table":"t","txId":77}'
+    after = '{"amount":12.345,"big":12345678901234567890.12,"extra":{"k":[1,2.5]},"id":1,"name":"a"}'
+    text = f'{{"before":null,"after":{after},"source":{source},"op":"c","ts_ms":5}}'
+    row = bronze(spark, [text]).first()
+    assert (row["after"], row["source"], row["before"], row["seq"]) == (after, source, None, 3)
+
+
+def test_a_new_column_goes_from_message_to_silver(spark):
+    from streambed.operators import silver
+    from streambed import schemas
+
+    wide = schemas.columns("id BIGINT, name STRING, note STRING")
+    state = silver.merge_changes(silver.empty_silver(spark, wide), bronze(spark, [envelope(1, name="a", note="new")]), wide)
+    assert [(r["id"], r["name"], r["note"]) for r in state.collect()] == [(1, "a", "new")]
+
+
+def test_inferred_schema_of_odd_names_and_nested_values(spark):
+    texts = [
+        '{"VOIDED": true, "OBJECT<x": 1, "a`b": {"OBJECT<": [null, null]}, "list": [{"VOID": 1}, {"q, r: s": "t"}], "mixed": 1}',
+        '{"VOIDED": false, "nothing": null, "mixed": "text"}',
+    ]
+    schema = changelog.infer_json_schema(spark.createDataFrame([(t,) for t in texts], "j string"), "j")
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    assert kinds["VOIDED"] == "boolean" and kinds["OBJECT<x"] == "bigint" and kinds["nothing"] == kinds["mixed"] == "string"
+    assert schema["a`b"].dataType["OBJECT<"].dataType.simpleString() == "array<string>"
+    assert set(schema["list"].dataType.elementType.names) == {"VOID", "q, r: s"}
+    row = changelog.expand_payload(spark.createDataFrame([(texts[0],)], "j string"), schema, F.col("j")).first()
+    assert row["VOIDED"] is True and row["OBJECT<x"] == 1 and row["mixed"] == "1"
+
+
 def test_first_image_prefers_after_and_falls_back_to_before(spark):
     log = changes(spark, [(1, "d", 1), (2, "c", 5, 0, "x"), (3, "c", 9, 0, "y")])
     assert json.loads(changelog.first_image(log).first()["image"])["name"] == "x"

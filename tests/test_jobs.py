@@ -44,7 +44,7 @@ def test_bronze_silver_gold(spark, tmp_path, monkeypatch, capsys):
         for row in data:
             send(spark, root, name, row, "c", 1)
     assert ingest(spark, root, monkeypatch) == {}
-    assert jobs.run_silver(spark, root, buckets=4) == {}
+    assert jobs.run_silver(spark, root) == {}
     assert jobs.run_gold(spark, root, "2024-01-01", AT) == {
         "user_360": 2, "device_performance": 1, "daily_executive_kpi": 1,
     }
@@ -65,8 +65,8 @@ def test_bronze_silver_gold(spark, tmp_path, monkeypatch, capsys):
     send(spark, root, "users", {"id": 2}, "d", 5)
     send(spark, root, "users", {**DATA["users"][0], "name": "new"}, "u", 6)
     ingest(spark, root, monkeypatch)
-    jobs.run_silver(spark, root, max_files=1, buckets=4)
-    jobs.run_silver(spark, root, buckets=4)
+    jobs.run_silver(spark, root, max_files=1)
+    jobs.run_silver(spark, root)
     live = jobs.read_silver(spark, root, "users")
     assert [(r["id"], r["name"]) for r in live.collect()] == [(1, "new")]
     counts = jobs.run_check(spark, root)
@@ -78,8 +78,10 @@ def test_bronze_silver_gold(spark, tmp_path, monkeypatch, capsys):
 def test_missing_topics_and_tables(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     send(spark, root, "users", DATA["users"][0], "r", 1)
+    raw_messages(spark, ["{bad"]).coalesce(1).write.mode("append").parquet(f"{root}/topics/users")
     assert set(ingest(spark, root, monkeypatch)) == {"devices", "cam_bills"}
-    assert set(jobs.run_silver(spark, root, buckets=4)) == {"devices", "cam_bills"}
+    assert spark.read.parquet(f"{root}/quarantine/users").count() == 1
+    assert set(jobs.run_silver(spark, root)) == {"devices", "cam_bills"}
     made = jobs.gold_marts(spark, root, "2024-01-01", AT)
     assert made["user_360"].count() == 1 and made["device_performance"].count() == 0
     empty_root = str(tmp_path / "nothing")
@@ -101,8 +103,18 @@ def test_gold_over_silver_equals_gold_over_the_source(spark, tmp_path):
     for name, view in source.items():
         snapshot = view(spark, SMALL)
         log = changelog.snapshot_to_changes(snapshot, "id", 1)
-        apply_changes(spark, jobs.silver_table(root, name, 4), log, "snapshot")
+        apply_changes(spark, jobs.silver_table(root, name), log)
         assert rows(jobs.read_silver(spark, root, name)) == rows(snapshot)
     want = marts.user_360(*[view(spark, SMALL) for view in source.values()], AT)
     assert rows(jobs.gold_marts(spark, root, "2024-01-01", AT)["user_360"]) == rows(want)
     assert want.where(F.col("vip_tier") == "STANDARD").count() > 0
+
+
+def test_failed_tables_give_a_failing_exit(spark, tmp_path, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(jobs, "build_session", lambda *_: spark)
+    for job in ("silver", "check"):
+        with pytest.raises(SystemExit) as stopped:
+            jobs.main([job, "--root", str(tmp_path)])
+        assert stopped.value.code == 1

@@ -75,8 +75,8 @@ def test_kpi_with_and_without_rows(spark, lake):
     row = marts.executive_kpi(users, devices, bills, "2024-01-01", AT).first()
     assert (row["total_registered_users"], row["total_active_devices"], row["online_devices"]) == (7, 5, 3)
     assert row["device_online_ratio_pct"] == 60.0
-    assert row["total_revenue"] == 2999999.98 and row["total_paid_transactions"] == 5
-    assert row["avg_revenue_per_user"] == 428571.43
+    assert row["total_revenue"] == Decimal("2999999.98") and row["total_paid_transactions"] == 5
+    assert row["avg_revenue_per_user"] == Decimal("428571.43")
     none = [table(spark, s, []) for s in (schemas.USERS, schemas.DEVICES, schemas.BILLS)]
     empty = marts.executive_kpi(*none, "2024-01-01", AT).collect()
     assert len(empty) == 1
@@ -86,7 +86,7 @@ def test_kpi_with_and_without_rows(spark, lake):
 def test_ratio_rounds_half_up(spark):
     df = spark.createDataFrame([(5350, 2000)], "a long, b long")
     got = df.select(marts.share(df["a"].cast("decimal(20,0)"), df["b"]).alias("x")).first()["x"]
-    assert got == 2.68
+    assert got == Decimal("2.68")
 
 
 def test_marts_without_devices_and_bills(spark, lake):
@@ -102,6 +102,30 @@ def test_contract(spark, lake):
         contract.conform(mart.drop("vip_tier"), schemas.USER_360)
 
 
+def test_large_money_and_counts_survive_to_the_export(spark, lake):
+    users, devices, _ = lake
+    paid = [(k, 1, 1, Decimal("9999999999999.99"), "yearly", "paid", 10) for k in range(3)]
+    bills = table(spark, schemas.BILLS, paid + [(9, 2, 2, Decimal("12345678901.25"), "yearly", "paid", 10)])
+    spent = by(contract.conform(marts.user_360(*lake[:2], bills, AT), schemas.USER_360), "user_id")
+    assert spent[1]["total_spent"] == Decimal("29999999999999.97")
+    billed = contract.conform(marts.device_performance(devices, users, bills, AT), schemas.DEVICE_PERFORMANCE)
+    assert {r["bill_amount"] for r in billed.where("device_id = 2").collect()} == {Decimal("12345678901.25")}
+    kpi = contract.conform(marts.executive_kpi(users, devices, bills, "2024-01-01", AT), schemas.EXECUTIVE_KPI).first()
+    assert kpi["total_revenue"] == Decimal("30012345678901.22") - Decimal("0.00")
+    many = spark.range(1).selectExpr(
+        "date'2024-01-01' AS report_date", "2200000000 AS total_registered_users", "1L AS total_active_devices",
+        "1L AS online_devices", "1.0D AS device_online_ratio_pct", "1 AS total_revenue", "1L AS total_paid_transactions",
+        "1 AS avg_revenue_per_user", "'x' AS updated_at",
+    )
+    assert contract.conform(many, schemas.EXECUTIVE_KPI).first()["total_registered_users"] == 2200000000
+
+
+def test_a_value_that_does_not_fit_fails_the_load(spark):
+    wide = spark.range(1).selectExpr("CAST('99999999999999999' AS DECIMAL(38,2)) AS amount")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        contract.conform(wide, schemas.columns("amount MONEY")).collect()
+
+
 def test_tier_of_null_is_standard(spark):
     df = spark.createDataFrame([(None,)], "x decimal(15,2)")
     assert df.select(business.vip_tier(df["x"])).first()[0] == "STANDARD"

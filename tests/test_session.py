@@ -23,8 +23,11 @@ def fake(master, **conf):
 def test_the_named_folder_is_used_as_it_is():
     spark = fake("spark://host", **{"spark.checkpoint.dir": "hdfs://nn/shared/"})
     assert session.shared_folder(spark) == "hdfs://nn/shared"
+
+
+def test_run_folders_are_new_each_time(spark):
     first, second = session.run_folder(spark, "q"), session.run_folder(spark, "q")
-    assert first.startswith("hdfs://nn/shared/streambed/q-") and first != second
+    assert first.startswith(f"{session.shared_folder(spark)}/streambed/q-") and first != second
 
 
 def test_a_cluster_without_the_setting_is_an_error():

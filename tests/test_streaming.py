@@ -2,9 +2,9 @@ import pytest
 
 from streambed import schemas
 from streambed.operators import changelog
-from streambed.sinks.silver_table import SilverTable, applied_runs, read_current
+from streambed.sinks.silver_table import SilverTable, finished, read_current
 from streambed.sources import topics
-from streambed.streaming.bronze import ALL_AVAILABLE, start_bronze
+from streambed.streaming.bronze import ALL_AVAILABLE, start_bronze, start_quarantine
 from streambed.streaming.silver import start_replica, start_silver
 from streambed.streaming.supervise import for_each_table, supervise
 from tests.helpers import ROW, changes, names, raw_messages, rows
@@ -18,7 +18,7 @@ def write_messages(spark, folder, texts, at="2024-03-05 23:59:59"):
 def run_bronze(spark, tmp_path, decode=None):
     raw = topics.file_stream(spark, str(tmp_path / "in"), schemas.RAW_MESSAGE, max_files=1)
     query = start_bronze(
-        raw, decode or changelog.json_envelope(ROW), str(tmp_path / "bronze"), str(tmp_path / "ck"),
+        raw, decode or changelog.json_envelope(), str(tmp_path / "bronze"), str(tmp_path / "ck"),
         name="stream_test", trigger=ALL_AVAILABLE,
     )
     query.awaitTermination()
@@ -32,7 +32,7 @@ def test_stream_equals_batch_and_a_restart_adds_only_new_rows(spark, tmp_path):
     query = run_bronze(spark, tmp_path)
     assert query.name == "stream_test"
     read = lambda: spark.read.schema(schemas.BRONZE).parquet(str(tmp_path / "bronze"))
-    batch = lambda: changelog.to_bronze(spark.read.parquet(source), changelog.json_envelope(ROW))
+    batch = lambda: changelog.to_bronze(spark.read.parquet(source), changelog.json_envelope())
     assert read().count() == 3 and rows(read()) == rows(batch())
     run_bronze(spark, tmp_path)
     assert read().count() == 3
@@ -57,22 +57,43 @@ def run_silver(spark, tmp_path, table, start=start_silver):
 
 
 def test_silver_stream_over_several_batches_and_a_restart(spark, tmp_path):
-    table = SilverTable(str(tmp_path / "silver"), ROW, buckets=4)
+    table = SilverTable(str(tmp_path / "silver"), ROW)
     folder = str(tmp_path / "bronze")
     for log in ([(1, "c", 1), (2, "c", 1)], [(1, "u", 5)], [(2, "d", 2), (1, "u", 3)]):
         write_bronze(spark, folder, log)
     run_silver(spark, tmp_path, table)
     assert names(read_current(spark, table)) == {1: ["u@5"]}
-    assert len(applied_runs(spark, table)) == 3
+    assert finished(spark, table)[-1] == 3
     run_silver(spark, tmp_path, table)
-    assert len(applied_runs(spark, table)) == 3
+    assert finished(spark, table)[-1] == 3
     write_bronze(spark, folder, [(2, "c", 7)])
     run_silver(spark, tmp_path, table)
     assert names(read_current(spark, table)) == {1: ["u@5"], 2: ["c@7"]}
 
 
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    table = SilverTable(str(tmp_path / "silver"), ROW)
+    for n, log in enumerate(([(1, "c", 1)], [(2, "c", 1)])):
+        write_bronze(spark, str(tmp_path / f"bronze{n}"), log)
+        bronze = topics.file_stream(spark, str(tmp_path / f"bronze{n}"), schemas.BRONZE)
+        start_silver(bronze, table, str(tmp_path / f"ck{n}"), trigger=ALL_AVAILABLE).awaitTermination()
+    assert names(read_current(spark, table)) == {1: ["c@1"], 2: ["c@1"]}
+    bronze = topics.file_stream(spark, str(tmp_path / "bronze0"), schemas.BRONZE)
+    start_silver(bronze, table, str(tmp_path / "ck-again"), trigger=ALL_AVAILABLE).awaitTermination()
+    assert names(read_current(spark, table)) == {1: ["c@1"], 2: ["c@1"]}
+
+
+def test_undecodable_messages_are_written_aside(spark, tmp_path):
+    write_messages(spark, str(tmp_path / "in"), [envelope(1, name="a"), "{bad", b"\x00\x01", None])
+    raw = topics.file_stream(spark, str(tmp_path / "in"), schemas.RAW_MESSAGE)
+    paths = str(tmp_path / "aside"), str(tmp_path / "ck")
+    start_quarantine(raw, changelog.json_envelope(), *paths, trigger=ALL_AVAILABLE).awaitTermination()
+    aside = spark.read.parquet(paths[0]).collect()
+    assert sorted(bytes(r["value"]) for r in aside) == [b"\x00\x00\x00\x00\x09{bad", b"\x00\x01"]
+
+
 def test_replica_stream_keeps_deleted_rows(spark, tmp_path):
-    table = SilverTable(str(tmp_path / "replica"), ROW, buckets=4)
+    table = SilverTable(str(tmp_path / "replica"), ROW)
     write_bronze(spark, str(tmp_path / "bronze"), [(1, "c", 1), (1, "d", 2), (2, "c", 1)])
     run_silver(spark, tmp_path, table, start_replica)
     assert names(read_current(spark, table)) == {1: ["c@1"], 2: ["c@1"]}

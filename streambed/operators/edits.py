@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streambed.session import run_folder
+
 # monotonically_increasing_id keeps the row's place in its partition in the lower 33 bits.
 PLACE_BITS = 33
 
@@ -45,12 +47,15 @@ def id_high_water(tables: dict[str, DataFrame], pk: str = "id") -> DataFrame:
 def assign_ids(new: DataFrame, high_water: int, pk: str = "id") -> DataFrame:
     """New rows numbered high_water + 1, + 2, … without gaps and without a single-task sort.
 
-    The rows are checkpointed first, so that counting and numbering see the same partitions
-    even when an executor is lost. Partition offsets are one row per partition.
+    The rows are first written to the shared folder, so that counting and numbering see the same
+    partitions even when an executor is lost. Partition offsets are one row per partition.
     """
+    folder = f"{run_folder(new.sparkSession, 'assign_ids')}/rows"
+    new.write.parquet(folder)
     place = F.monotonically_increasing_id()
     numbered = (
-        new.checkpoint()
+        new.sparkSession.read.schema(new.schema)
+        .parquet(folder)
         .withColumn("_mid", place)
         .withColumn("_part", F.shiftrightunsigned("_mid", PLACE_BITS))
     )

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streambed.llm import common
+from streambed.llm import bits, common
 
 # Words compared, and how many of them must be equal: 0.8.
 WINDOW = 15
@@ -30,11 +30,9 @@ LEAST_WORDS = 8
 # Positions that each mask looks at.
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 4, 8, 9, 10), (0, 1, 3, 5, 9, 10))
 WHOLE = tuple(range(LEAST_WORDS))
-# The bit table has 2^27 bits (16 MB).
-TABLE_BITS = 27
 # Words hashed by one mask at once, and words kept with their hashes in each Python worker.
 CHUNK = 1 << 18
-KEPT_WORDS = 300_000
+KEPT_WORDS = 120_000
 
 _WORD = re.compile(r"\w+")
 _HITS = pa.schema(
@@ -129,38 +127,6 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     return once.mapInArrow(seeded, _SEEDS_SQL)
 
 
-def _slots(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of the table that a hash sets."""
-    shift = np.uint64(64 - TABLE_BITS)
-    return values >> shift, (values * np.uint64(0xC2B2AE3D27D4EB4F)) >> shift
-
-
-def bit_table(found: DataFrame) -> np.ndarray:
-    """The benchmark's seeds as a bit table; at most 2^21 rows of 64 bits reach the driver."""
-
-    def bits(batches):
-        for batch in batches:
-            values = batch.column(0).to_numpy().view(np.uint64)
-            slots = np.concatenate(_slots(values)).astype(np.int64)
-            ones = np.left_shift(np.uint64(1), (slots & 63).astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slots >> 6), pa.array(ones)], names=["slot", "ones"])
-
-    merged = found.select("seed").mapInArrow(bits, "slot long, ones long")
-    rows = merged.groupBy("slot").agg(F.bit_or("ones").alias("ones")).toArrow()
-    table = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
-    table[rows.column("slot").to_numpy()] = rows.column("ones").to_numpy().view(np.uint64)
-    return table
-
-
-def _known(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Places in ``values`` whose bits are all set."""
-    one = np.uint64(1)
-    first, second = _slots(values)
-    found = np.flatnonzero((table[first >> np.uint64(6)] >> (first & np.uint64(63))) & one)
-    second = second[found]
-    return found[((table[second >> np.uint64(6)] >> (second & np.uint64(63))) & one).astype(bool)]
-
-
 def document_hits(
     docs: DataFrame, table: np.ndarray, short_items: bool, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -169,14 +135,14 @@ def document_hits(
     masks = (*MASKS, WHOLE) if short_items else MASKS
 
     def rows(batches):
-        bits = sent.value
+        known = sent.value
         for batch in batches:
             for doc_id, text_hash, text in zip(*(batch.column(k) for k in range(3))):
                 words = word_hashes(text.as_py())
                 for number, mask in enumerate(masks):
                     for start in range(0, max(0, len(words) - mask[-1]), CHUNK):
                         values = seeds(words[start : start + CHUNK + mask[-1]], mask, number)
-                        for at in _known(bits, values).tolist():
+                        for at in bits.places(known, values).tolist():
                             place = start + at
                             first = max(0, place - WINDOW)
                             around = words[first : place + WINDOW + LEAST_WORDS].tobytes()
@@ -247,9 +213,9 @@ def overlaps(
     """
     items = common.written(benchmark_seeds(benchmark, item_id_col, item_text_col), "benchmark_seeds")
     short = items.where(F.length("item_words") < 8 * WINDOW).limit(1).count() > 0
-    hits = document_hits(docs, bit_table(items), short, id_col, text_col)
+    hits = document_hits(docs, bits.table(items.select("seed")), short, id_col, text_col)
     pairs = hits.withColumnsRenamed({"seed": "own"}).join(
-        items.withColumnsRenamed({"position": "item_position"}), F.col("own") == F.col("seed")
+        items.withColumnsRenamed({"position": "item_position"}).hint("merge"), F.col("own") == F.col("seed")
     )
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64())]
@@ -283,7 +249,7 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` that overlap with no item, with all their columns as they were."""
     found = overlaps(docs, benchmark, id_col, text_col).select("doc_id", "text_hash").distinct()
-    found = common.written(found.toDF("__id", "__hash"), "contaminated")
-    own = docs.withColumn("__own_id", F.col(id_col).cast("long")).withColumn("__own_hash", common.text_hash(text_col))
-    same = F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__hash"))
-    return own.join(found, same, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    found = common.written(found.toDF(common.KEY_ID, common.KEY_HASH), "contaminated")
+    clean, others = common.split(docs, found, id_col, text_col)
+    kept = clean.unionByName(others.join(found.hint("merge"), common.same_document(), "left_anti"))
+    return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -26,7 +26,7 @@ _ARROW = pa.schema(
 )
 
 # Words kept with their ids in each Python worker, and the longest word kept.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 KEPT_LENGTH = 48
 
 _BLANKS = re.compile(r"\s ")

@@ -129,7 +129,7 @@ def near_duplicates(
     they come. Other columns are left out.
     """
     found = common.written(fingerprints(docs, shingle, id_col, text_col), "documents")
-    return found.join(groups(found, max_bits), "fingerprint")
+    return found.join(groups(found, max_bits).hint("merge"), "fingerprint")
 
 
 def deduplicate(
@@ -140,11 +140,18 @@ def deduplicate(
     Among rows with that id the one with the smallest text hash stays, once. A group of null ids
     alone keeps its smallest text hash. All columns are returned as they were.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col).where("doc_id <=> component_id")
+    found = near_duplicates(docs, shingle, max_bits, id_col, text_col).select("root", "component_id", "doc_id", "text_hash")
+    counted = found.groupBy("root", "component_id", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
     order = Window.partitionBy("root").orderBy("text_hash")
-    kept = found.withColumn("n", F.row_number().over(order)).where("n = 1").select("doc_id", "text_hash")
-    kept = common.written(kept.toDF("__kept_id", "__kept_text").distinct(), "kept")
-    own = docs.withColumn("__own_id", F.col(id_col).cast("long")).withColumn("__own_text", common.text_hash(text_col))
-    match = F.col("__own_id").eqNullSafe(F.col("__kept_id")) & (F.col("__own_text") == F.col("__kept_text"))
-    joined = own.join(kept, match, "left_semi")
-    return joined.dropDuplicates(["__own_id", "__own_text"]).select(*[f"`{c}`" for c in docs.columns])
+    first = counted.where("doc_id <=> component_id").withColumn("n", F.row_number().over(order)).where("n = 1")
+    first = common.written(first.select("doc_id", "text_hash").toDF("__first_id", "__first_hash"), "firsts")
+    # Rows to drop, and rows to keep once of several: all others stay as they are.
+    is_first = F.col("doc_id").eqNullSafe(F.col("__first_id")) & (F.col("text_hash") == F.col("__first_hash"))
+    judged = counted.join(first.withColumn("kept", F.lit(True)).hint("merge"), is_first, "left")
+    touched = judged.where("kept is null or rows > 1").select("doc_id", "text_hash", F.coalesce("kept", F.lit(False)))
+    touched = common.written(touched.toDF(common.KEY_ID, common.KEY_HASH, "__kept"), "touched")
+    whole, others = common.split(docs, touched, id_col, text_col)
+    others = others.join(touched.hint("merge"), common.same_document(), "left").where("__kept is null or __kept")
+    others = others.dropDuplicates([common.OWN_ID, common.OWN_HASH])
+    columns = [f"`{c}`" for c in docs.columns]
+    return whole.select(*columns).unionByName(others.select(*columns))

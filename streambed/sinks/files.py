@@ -1,5 +1,5 @@
-"""File writers. Rows are gathered per folder by a rebalance, which splits a large folder's rows
-over several tasks and joins small ones, so neither one hot month nor many tiny files result."""
+"""File writers. Rows are gathered per folder, and a large folder's rows are split over several tasks,
+so neither one hot month or day nor many tiny files per folder result."""
 
 from __future__ import annotations
 
@@ -24,10 +24,15 @@ def write_device_logs(logs: DataFrame, folder: str) -> None:
 
 
 def write_payments(payments: DataFrame, folder: str, pattern: str = "yyyyMMdd") -> None:
-    """Headed CSV, one folder per day (or per the period the date pattern names)."""
+    """Headed CSV, one folder per day (or per the period the date pattern names).
+
+    Days are many and small, so rows are dealt by ranges of day and transaction: every task writes
+    neighbouring days, and a day with very many rows is split over tasks.
+    """
+    tasks = int(payments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dated = payments.withColumn("period", F.date_format("trans_time", pattern))
     (
-        dated.hint("rebalance", "period")
+        dated.repartitionByRange(tasks, "period", "partner_trans_id")
         .write.mode("append")
         .partitionBy("period")
         .options(header=True, timestampFormat=TIME_FORMAT)

@@ -28,8 +28,13 @@ def json_envelope() -> Decoder:
 
     def decode(payload: Column) -> Column:
         data = F.from_json(payload.cast("string"), schemas.ENVELOPE, {"mode": "PERMISSIVE"})
-        texts = [F.nullif(F.to_json(data[part]), F.lit("null")).alias(part) for part in ("before", "after", "source")]
-        return F.struct(*texts, data["op"].alias("op"), data["ts_ms"].alias("ts_ms"))
+
+        def texts(d: Column) -> Column:
+            parts = [F.when(~F.is_variant_null(d[p]), F.to_json(d[p])).alias(p) for p in ("before", "after", "source")]
+            return F.struct(*parts, d["op"].alias("op"), d["ts_ms"].alias("ts_ms"))
+
+        # Bound to a variable, so that a message is parsed once however many fields are taken of it.
+        return F.transform(F.array(data), texts)[0]
 
     return decode
 

@@ -13,6 +13,7 @@ import html as entities
 import math
 import re
 from collections import defaultdict, deque
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +28,9 @@ SILENT = frozenset(
 )
 # Their content ends at their own end tag only.
 RAW = frozenset("script style textarea title iframe xmp noframes noembed".split())
+# What may stand in a head, and the end tags that end one.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+HEAD_ENDS = frozenset("body html br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that begin and end a block of text.
 BLOCK = frozenset(
@@ -173,7 +177,7 @@ def blocks(page: str) -> list[Block]:
             if tag in BLOCK:
                 flush()
             if not attributes.rstrip().endswith("/"):
-                at = _end_of(page, at, tag)
+                at = _end_of(page, match.start(), at, tag)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -213,26 +217,50 @@ def blocks(page: str) -> list[Block]:
 
 
 _ENDS: dict[str, re.Pattern] = {}
-_SAME: dict[str, re.Pattern] = {}
-
-
-def _end_of(page: str, at: int, tag: str) -> int:
-    """Where a silent element that opened before ``at`` ends; the page's end if it is never closed."""
+_HEAD_END = re.compile(r"</head\s*>|<body[\s>]", re.IGNORECASE)
+
+
+@lru_cache(maxsize=16)
+def _closed(page: str, tag: str) -> dict[int, int]:
+    """Where the elements of a name end, by where they begin; without those that are never closed."""
+    opened, ends = [], {}
+    for found in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", page, re.IGNORECASE):
+        if not found[1]:
+            opened.append(found.start())
+        elif opened:
+            ends[opened.pop()] = found.end()
+    return ends
+
+
+def _end_of_head(page: str, at: int) -> int:
+    """Where a head without end tag ends: before the first text or tag that may not stand in it."""
+    while match := _TAG.search(page, at):
+        if page[at : match.start()].strip():
+            return at
+        tag, closing = (match[2] or match[5] or "").lower(), match[1] or match[4]
+        if tag in HEAD_ENDS if closing else tag and tag not in IN_HEAD:
+            return match.start()
+        start, at = match.start(), match.end()
+        if tag in SILENT and not closing and not (match[3] or match[6] or "").rstrip().endswith("/"):
+            at = _end_of(page, start, at, tag)
+    return at
+
+
+def _end_of(page: str, start: int, at: int, tag: str) -> int:
+    """Where a silent element ends whose start tag stands from ``start`` to ``at``.
+
+    Raw text that is never closed reaches to the page's end; of other elements that are never closed
+    only the tag is silent.
+    """
     if tag in RAW:
         ends = _ENDS.setdefault(tag, re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE))
         found = ends.search(page, at)
         return found.end() if found else len(page)
     if tag == "head":
         # Its end tag may be left out.
-        found = re.compile(r"</head\s*>|<body[\s>]", re.IGNORECASE).search(page, at)
-        return (found.start() if found[0][1] != "/" else found.end()) if found else len(page)
-    either = _SAME.setdefault(tag, re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.IGNORECASE))
-    depth = 1
-    for found in either.finditer(page, at):
-        depth += -1 if found[1] else 1
-        if depth == 0:
-            return found.end()
-    return at if tag in ("option", "button") else len(page)
+        found = _HEAD_END.search(page, at)
+        return found.end() if found and found[0][1] == "/" else _end_of_head(page, at)
+    return _closed(page, tag).get(start, at)
 
 
 def score(block: Block) -> float:

@@ -64,6 +64,29 @@ def test_odd_pages(page, text):
     assert h.main_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["noscript", "template", "svg", "object", "select", "video", "audio", "math", "canvas", "datalist"])
+def test_unclosed_silent_elements_keep_what_follows(tag):
+    article = f"<article><p>{TEXT}</p></article>"
+    assert h.main_text(f"<{tag}>{article}") == TEXT.strip()
+    assert h.main_text(f"<{tag}>x y</{tag}><{tag} title='a>b'>{TEXT}</{tag}><{tag}>{article}") == TEXT.strip()
+    assert h.main_text(f"<{tag} class='a>b'><{tag}>{TEXT}</{tag}>{TEXT}</{tag}>{article}") == TEXT.strip()
+
+
+@pytest.mark.parametrize("head", [
+    "<head>", "<html><head><title>T</title>", "<head><meta charset=a><!-- <p>c --><script>'<div>'</script><STYLE>p{}</STYLE>",
+    "<head><noscript><img src=a></noscript><link rel=b>", "<head><title>T</title></html>", "<head><base/><template><p>x</template>",
+])
+def test_heads_without_end_tag(head):
+    article = f"<article><h1>Head</h1><p>{TEXT}</p></article>"
+    assert h.main_text(head + article) == "Head " + TEXT.strip()
+    assert h.main_text(f"{head}\n<body class=c>{article}") == "Head " + TEXT.strip()
+    assert h.main_text(head + TEXT * 3) == (TEXT * 3).strip()
+
+
+def test_many_unclosed_elements_take_no_longer_each():
+    assert h.main_text("<article>" + "<svg><select>" * 30000 + f"<p>{TEXT}</p></article>") == TEXT.strip()
+
+
 def test_long_and_deep_pages():
     assert h.main_text("<article>" + f"<p>{TEXT}</p>" * 3000 + "</article>") == " ".join([TEXT.strip()] * 3000)
     assert h.main_text("<article>" + "<div>" * 5000 + TEXT * 2) == (TEXT * 2).strip()

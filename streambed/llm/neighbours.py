@@ -176,17 +176,13 @@ def learn(sample: np.ndarray, parts: int, k: int = 5, wanted: float = WANTED) ->
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, vector): rows with an id and a vector that has a direction, each pair once.
 
-    Vectors that are null, zero, or hold null or non-finite components are left out, and so are those
-    whose length is not the most frequent one (of equally frequent ones the smallest).
+    Vectors that are null, zero, or hold null or non-finite components are left out.
     """
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")
     ).where("id is not null and vector is not null")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.where(F.coalesce(finite, F.lit(False)) & F.exists("vector", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("vector").alias("size")).count()
-    most = sizes.orderBy(F.desc("count"), "size").first()
-    return rows.where(F.size("vector") == (most.size if most else 0)).distinct()
+    return rows.where(F.coalesce(finite, F.lit(False)) & F.exists("vector", lambda x: x != 0)).distinct()
 
 
 def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
@@ -204,14 +200,54 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _routed(rows: DataFrame, router: Router, count: int) -> DataFrame:
-    """``rows`` once for each of their ``count`` most probable parts, as column ``part``."""
-    sent = rows.sparkSession.sparkContext.broadcast(router)
+@dataclass
+class Share:
+    """How vectors of one length are searched: their router, their first part's number, parts searched."""
+
+    router: Router
+    first: int
+    probes: int
+
+
+def shares(
+    every: DataFrame, wanted: DataFrame, k: int, parts: int | None, probes: int | None, sample: int
+) -> dict[int, Share]:
+    """By length of vectors: its share, if both tables hold such. One row per length reaches the driver,
+    and a sample of the lengths with more than one part."""
+    size = F.size("vector")
+    asked = {r.size for r in wanted.select(size.alias("size")).distinct().collect()}
+    counts = every.groupBy(size.alias("size")).count().collect()
+    out, first = {}, 0
+    for length, total in sorted((r.size, r["count"]) for r in counts if r.size in asked):
+        number = parts or min(MOST_PARTS, math.ceil(total / PART_ROWS))
+        chosen = []
+        if number > 1:
+            own = every.where(size == length).orderBy(F.xxhash64("key"), "key")
+            chosen = own.limit(sample).select("vector").collect()
+        router = learn(np.array([row.vector for row in chosen], np.float64).reshape(-1, length), number, k)
+        out[length] = Share(router, first, min(probes or router.probes, router.parts))
+        first += router.parts
+    return out
+
+
+def _routed(rows: DataFrame, found: dict[int, Share], home: bool) -> DataFrame:
+    """``rows`` with a share, once for their most probable part or for each that is searched, as column
+    ``part``. Vectors of unlike lengths are in unlike parts."""
+    sent = rows.sparkSession.sparkContext.broadcast(found)
 
     @F.pandas_udf("array<int>")
     def parts(vectors: pd.Series) -> pd.Series:
-        unit = _unit(np.stack(vectors.to_numpy()).astype(np.float64))
-        return pd.Series(list(sent.value.ranked(unit, count).astype(np.int32)))
+        lengths, rows = vectors.map(len).to_numpy(), vectors.to_numpy()
+        out = [None] * len(rows)
+        for length in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == length)
+            if length in sent.value:
+                share = sent.value[length]
+                unit = _unit(np.stack(rows[own]).astype(np.float64))
+                best = share.first + share.router.ranked(unit, 1 if home else share.probes)
+                for k, ranked in zip(own, best.astype(np.int32)):
+                    out[k] = ranked
+        return pd.Series(out, dtype=object)
 
     return rows.withColumn("part", F.explode(parts("vector")))
 
@@ -270,22 +306,19 @@ def nearest(
     Nearness is the cosine in double precision, ties go to the smaller id; a row with the query's own
     id is no candidate. Both tables have the columns ``id_col`` and ``vector_col``. What ``usable``
     leaves out takes no part, rows equal in both columns are one, rows of one id with different vectors
-    are candidates and queries each. ``parts`` and ``probes`` default to what the data's size and the
+    are candidates and queries each. Vectors of each length are searched for themselves; a query has no
+    rows if no candidate has its length. ``parts`` and ``probes``, for each length, default to what the data's size and the
     sample's recall ask for; with one part the result is exact. No rows give no rows.
     """
     rows = usable(vectors, id_col, vector_col)
     every = common.written(distinct_vectors(rows, k + 1), "vectors")
-    total = every.count()
     wanted = usable(queries, id_col, vector_col).withColumn("key", F.sha2(F.to_json("vector"), 256))
     wanted = common.written(wanted, "queries")
     asked = wanted.groupBy("key").agg(F.first("vector").alias("vector"))
-    chosen = every.orderBy(F.xxhash64("key"), "key").limit(sample).select("vector").collect()
-    matrix = np.array([row.vector for row in chosen], np.float64) if chosen else np.zeros((0, 1))
-    router = learn(matrix, parts or min(MOST_PARTS, math.ceil(total / PART_ROWS)), k)
-    count = min(probes or router.probes, router.parts)
+    searched = shares(every, wanted, k, parts, probes, sample)
 
-    home = common.written(_routed(every, router, 1), "routed_vectors")
-    out = common.written(_routed(asked, router, count), "routed_queries")
+    home = common.written(_routed(every, searched, True), "routed_vectors")
+    out = common.written(_routed(asked, searched, False), "routed_queries")
     blocks, lots = _sizes(home, BLOCK_ROWS), _sizes(out, BLOCK_QUERIES)
     dealt = lambda counts: F.pmod(F.xxhash64("key"), _by_part(counts)).cast("int")
     found = home.withColumn("block", dealt(blocks)).withColumn("lot", F.explode(_numbers(_by_part(lots))))

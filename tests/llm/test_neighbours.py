@@ -79,6 +79,21 @@ def test_frequent_vectors_ties_nulls_and_repeats(spark):
     assert [i for _, i in found[1]] == [2, 3, 4, 5, 6] and [i for _, i in found[300]] == [1, 2, 3, 4, 5]
 
 
+def test_each_length_is_searched_for_itself(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, v.tolist()) for k, v in enumerate(clustered(rng, 1500))]
+    rows += [(5000 + k, v.tolist()) for k, v in enumerate(clustered(rng, 700, size=8))]
+    rows += [(9000, [1.0, 2.0]), (9001, [2.0, 1.0]), (9002, [1.0]), (9003, [1.0, 2.0, 3.0])]
+    asked = [r for r in rows if 5000 <= r[0] < 5040 or r[0] in (7, 9000, 9001, 9002)] + [(9999, [1.0, 2.0, 2.0, 2.0])]
+    same = lambda v: [r for r in rows if len(r[1]) == len(v)]
+    want = {i: plain(same(v), [(i, v)], 5)[0][1] for i, v in asked if len(same(v)) > 1}
+    found = ranked(n.nearest(frame(spark, rows), frame(spark, asked)))
+    assert {i: [other for _, other in v] for i, v in found.items()} == {i: [other for _, other in v] for i, v in want.items()}
+    several = ranked(n.nearest(frame(spark, rows), frame(spark, asked), parts=6))
+    hits = sum(len({j for _, j in several[i]} & {j for _, j in pairs}) for i, pairs in want.items())
+    assert set(several) == set(want) and hits / sum(map(len, want.values())) >= 0.85
+
+
 @pytest.mark.parametrize("count", [0, 1, 3])
 def test_few_rows(spark, count):
     rows = [(50 * k, [1.0, float(k)]) for k in range(count)]

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streambed.llm import common, decontaminate, html_text, line_dedup, neighbours, packing, secrets, simhash, toxicity, url_filter, warc
+from streambed.llm import (
+    bpe,
+    common,
+    decontaminate,
+    fill_middle,
+    html_text,
+    line_dedup,
+    neighbours,
+    packing,
+    secrets,
+    simhash,
+    toxicity,
+    url_filter,
+    warc,
+)
 from streambed.session import run_folder
 
 
@@ -131,6 +145,63 @@ rests AS (
 SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (n)
 """
 
+
+
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and the text decoded from them again."""
+    found = bpe.encode(common.table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.transform(common.table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id::VARCHAR) AS digest,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines
+  FROM documents
+), draws AS (
+  SELECT doc_id, text, lines, len(lines) AS n,
+    ('0x' || substr(digest, 1, 8))::BIGINT % (len(lines) + 1) AS c1,
+    ('0x' || substr(digest, 9, 8))::BIGINT % (len(lines) + 1) AS c2,
+    ('0x' || substr(digest, 17, 8))::BIGINT % 100 AS c3,
+    ('0x' || substr(digest, 25, 8))::BIGINT % 100 AS c4
+  FROM units
+), cuts AS (
+  SELECT doc_id, text, n,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c3 >= 100
+      THEN 'plain' WHEN c4 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    coalesce(array_to_string(lines[1:least(c1, c2)], ''), '') AS prefix,
+    coalesce(array_to_string(lines[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS middle,
+    coalesce(array_to_string(lines[greatest(c1, c2) + 1:], ''), '') AS suffix
+  FROM draws
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cuts
+"""
+
 REGISTRY = {
     "op1_packing": op1_packing,
     "op2_html_text": op2_html_text,
@@ -142,6 +213,8 @@ REGISTRY = {
     "op8_warc": op8_warc,
     "op9_neighbours": op9_neighbours,
     "op10_url_filter": op10_url_filter,
+    "op11_bpe": op11_bpe,
+    "op13_fill_middle": op13_fill_middle,
 }
 
-SQL = {"op8_warc": OP8_SQL, "op10_url_filter": OP10_SQL}
+SQL = {"op8_warc": OP8_SQL, "op10_url_filter": OP10_SQL, "op13_fill_middle": OP13_SQL}

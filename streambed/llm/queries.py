@@ -18,6 +18,7 @@ from streambed.llm import (
     simhash,
     toxicity,
     url_filter,
+    vector_codes,
     warc,
 )
 from streambed.session import run_folder
@@ -158,6 +159,55 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = vector_codes.compress(common.table(spark, sf_dir, "embeddings"))
+    return vector_codes.label_errors(coded).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _op12_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """All distances in every round, one row per component; for vectors of one length."""
+
+    def nearest(k: int) -> str:
+        return f"""found{k} AS MATERIALIZED (
+  SELECT n, part, arg_min(entry, [d, entry]) AS entry, min(d) AS d FROM (
+    SELECT n, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM ints JOIN book{k} USING (part, place)
+    GROUP BY n, part, entry
+  ) GROUP BY n, part
+)"""
+
+    def moved(k: int) -> str:
+        return f"""book{k + 1} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce(mean, c) AS c FROM book{k} LEFT JOIN (
+    SELECT part, entry, place, (sum(x)::BIGINT - (((sum(x)::BIGINT % count(*)) + count(*)) % count(*))) // count(*) AS mean
+    FROM found{k} JOIN ints USING (n, part) GROUP BY part, entry, place
+  ) USING (part, entry, place)
+)"""
+
+    steps = [step for k in range(rounds) for step in (nearest(k), moved(k))]
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS n, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), places AS (
+  SELECT n, unnest(range(0, len(embedding))) AS spot, unnest(embedding) AS v, len(embedding) // {parts} AS width FROM kept
+), ints AS MATERIALIZED (
+  SELECT n, spot // width AS part, spot % width AS place, floor(v::DOUBLE * 4096)::BIGINT AS x FROM places
+), book0 AS MATERIALIZED (
+  SELECT part, n AS entry, place, x AS c FROM ints WHERE n < {entries}
+), {", ".join([*steps, nearest(rounds)])}, sums AS (
+  SELECT n, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM found{rounds} GROUP BY n
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN sums USING (n)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_middle.transform(common.table(spark, sf_dir, "documents"))
     return found.select(
@@ -214,7 +264,13 @@ REGISTRY = {
     "op9_neighbours": op9_neighbours,
     "op10_url_filter": op10_url_filter,
     "op11_bpe": op11_bpe,
+    "op12_vector_codes": op12_vector_codes,
     "op13_fill_middle": op13_fill_middle,
 }
 
-SQL = {"op8_warc": OP8_SQL, "op10_url_filter": OP10_SQL, "op13_fill_middle": OP13_SQL}
+SQL = {
+    "op8_warc": OP8_SQL,
+    "op10_url_filter": OP10_SQL,
+    "op12_vector_codes": OP12_SQL,
+    "op13_fill_middle": OP13_SQL,
+}

@@ -256,6 +256,37 @@ SQL: dict[str, str] = {
     "silver_merge_stream": with_views(
         "event_log", f"SELECT {BILL} FROM (SELECT *, {LATEST} AS rn FROM event_log) WHERE rn = 1 AND op <> 'd'"
     ),
+    "merge_on_read": with_views("order_log line_log bill_log merged", f"SELECT {BILL} FROM merged"),
+    "evolve_on_write": with_views(
+        "order_log line_log bill_log merged",
+        """SELECT id, status, CAST(amount AS DOUBLE) AS amount,
+            CASE WHEN seq > 0 THEN seq // 1000000000000 END AS line,
+            CASE WHEN seq >= 2000000000000 THEN seq % 1000000000000 + 0.5::DOUBLE
+                 WHEN seq > 0 THEN CAST(seq % 1000000000000 AS DOUBLE) END AS bought FROM merged""",
+    ),
+    "keyed_stream": with_views(
+        "event_log",
+        f"SELECT {CHANGE}, CAST(1 AS BIGINT) AS times FROM (SELECT *, {LATEST} AS rn FROM event_log) WHERE rn = 1",
+    ),
+    "decode_by_schema": with_views(
+        "event_log",
+        """SELECT CAST(id AS VARCHAR) AS id, op, seq, CASE WHEN op <> 'd' THEN CAST(amount AS DOUBLE) END AS amount,
+            CASE op WHEN 'r' THEN 'monthly' WHEN 'u' THEN plan_type END AS plan_type,
+            CASE WHEN op <> 'd' THEN status END AS status FROM event_log WHERE op <> 'c'""",
+    ),
+    "schema_quarantine": with_views(
+        "event_log", "SELECT CAST(22 AS INTEGER) AS schema_id, false AS known, ts_ms FROM event_log WHERE op = 'c'"
+    ),
+    "snapshot_handover": with_views(
+        "invoices line_log",
+        f"""SELECT {CHANGE} FROM line_log
+            UNION ALL
+            SELECT CAST(id AS VARCHAR), 'r', low, 0, CAST(amount AS DOUBLE), status
+            FROM (SELECT *, {MS.format("make_timestamp(1992 + id % 4, 1, 1, 0, 0, 0)")} AS low,
+                         {MS.format("make_timestamp(1992 + id % 4, 7, 1, 0, 0, 0)")} AS high FROM invoices) s
+            WHERE NOT EXISTS (SELECT 1 FROM line_log l WHERE l.id = s.id AND (l.ts_ms > s.low OR (l.ts_ms = s.low AND l.seq > 0))
+                              AND (l.ts_ms < s.high OR (l.ts_ms = s.high AND l.seq <= 0)))""",
+    ),
     "replica_stream": with_views(
         "event_log", f"SELECT {BILL} FROM (SELECT *, {LATEST} AS rn FROM event_log WHERE op <> 'd') WHERE rn = 1"
     ),
@@ -324,6 +355,17 @@ SQL: dict[str, str] = {
     "kpi_from_changes": with_views(
         "customer_users supplier_users users devices order_log line_log bill_log merged", KPI.format("merged")
     ),
+    "kpi_by_differences": with_views(
+        "customer_users supplier_users users devices order_log line_log bill_log merged", KPI.format("merged")
+    ),
+    "user_360_by_differences": with_views(
+        "customer_users supplier_users users devices order_log line_log bill_log merged device_counts",
+        USER_360.replace(
+            "bill_totals b",
+            """(SELECT user_id, count(id) AS total_bills, sum(CASE WHEN status = 'paid' THEN amount ELSE 0 END) AS total_spent
+                FROM merged GROUP BY user_id) b""",
+        ),
+    ),
     "user_main_plan": with_views(
         "bills",
         """SELECT user_id AS bill_user_id, plan_type AS main_plan FROM (

@@ -12,13 +12,16 @@ from pyspark.sql import types as T
 from streambed import schemas
 from streambed.catalog import views
 from streambed.functions import business, moments, text, wire
-from streambed.operators import changelog, contract, edits, latest, silver
-from streambed.plans import facts, marts
+from streambed.operators import changelog, contract, edits, handover, latest, silver, versions
+from streambed.plans import facts, increments, marts
 from streambed.session import run_folder
+from streambed.sinks import change_table
 from streambed.sinks import files as file_sinks
-from streambed.sinks.silver_table import SilverTable, read_current
+from streambed.sinks.change_table import ChangeTable
+from streambed.sinks.silver_table import read_current
 from streambed.sources import files as file_sources
 from streambed.sources import lake, topics
+from streambed.streaming import keyed
 from streambed.streaming.bronze import ALL_AVAILABLE, start_bronze
 from streambed.streaming.silver import start_replica, start_silver
 from streambed.streaming.supervise import for_each_table
@@ -95,17 +98,17 @@ def wire_frame_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = changelog.decode_messages(views.event_messages(spark, sf_dir), bill_decoder())
-    images = [F.from_json(f"data.{image}", schemas.BILLS).alias(image) for image in ("after", "before")]
-    return decoded.select("data", *images).select(
-        F.coalesce("after.id", "before.id").alias("id"),
+    field = lambda part, name, kind: F.variant_get(f"data.{part}", f"$.{name}", kind)
+    return decoded.select(
+        F.coalesce(field("after", "id", "long"), field("before", "id", "long")).alias("id"),
         F.col("data.op").alias("op"),
-        F.get_json_object("data.source", "$.table").alias("source_table"),
-        F.get_json_object("data.source", "$.db").alias("source_db"),
-        F.get_json_object("data.source", "$.lsn").cast("long").alias("seq"),
+        field("source", "table", "string").alias("source_table"),
+        field("source", "db", "string").alias("source_db"),
+        field("source", "lsn", "long").alias("seq"),
         F.col("data.ts_ms").alias("ts_ms"),
-        F.col("after.amount").cast("double").alias("amount"),
-        F.col("after.plan_type").alias("plan_type"),
-        F.col("data.before").isNotNull().alias("has_before"),
+        field("after", "amount", "double").alias("amount"),
+        field("after", "plan_type", "string").alias("plan_type"),
+        (F.col("data.before").isNotNull() & ~F.is_variant_null("data.before")).alias("has_before"),
     )
 
 
@@ -154,6 +157,38 @@ def timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_output(spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze"))
 
 
+BILL_READER = [
+    versions.ReaderField(name, {"amount": ("total",), "status": ("state",)}.get(name, ()), "monthly" if name == "plan_type" else None)
+    for name in schemas.BILLS.names
+]
+
+
+@query
+def decode_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of two writer schemas, decoded by the id in their frame to the reader's names."""
+    raw = views.versioned_messages(views.event_changes(spark, sf_dir))
+    writers = versions.registry(spark, views.writer_schemas())
+    bronze = versions.to_bronze(raw, bill_decoder(), writers, BILL_READER)
+    image = F.from_json("after", schemas.BILLS)
+    return bronze.withColumn("image", image).select(
+        "id",
+        "op",
+        "seq",
+        F.col("image.amount").cast("double").alias("amount"),
+        F.col("image.plan_type").alias("plan_type"),
+        F.col("image.status").alias("status"),
+    )
+
+
+@query
+def schema_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose schema nobody registered, set aside by their schema id."""
+    raw = views.versioned_messages(views.event_changes(spark, sf_dir))
+    writers = versions.registry(spark, views.writer_schemas())
+    aside = versions.quarantine(raw, bill_decoder(), writers, BILL_READER)
+    return aside.select("schema_id", "known", moments.to_millis(F.col("timestamp")).alias("ts_ms"))
+
+
 @query
 def bronze_partition_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.events(spark, sf_dir).select("event_id", *moments.calendar_parts(moments.as_timestamp(F.col("ts"))))
@@ -241,6 +276,36 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SNAPSHOT_CHUNKS = 4
+
+
+@query
+def snapshot_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read as a snapshot in chunks while the line items change their bills: one log, merged.
+
+    Chunk k is read between 1 January and 1 July of 1992 + k; as the views have no state to read then,
+    a row is the order's as it was placed.
+    """
+    columns = [c for c in schemas.BILLS.names if c != "plan_type"]
+    rows = views.invoices(spark, sf_dir).select(*columns, F.lit("monthly").alias("plan_type"))
+    chunks = rows.withColumn("chunk", F.pmod("id", F.lit(SNAPSHOT_CHUNKS)).cast("int"))
+    at = lambda year, month: F.unix_millis(F.make_timestamp(F.lit(year), F.lit(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    windows = functools.reduce(
+        DataFrame.unionByName,
+        [
+            spark.range(1).select(
+                F.lit(k).alias("chunk"),
+                at(1992 + k, 1).alias("low_ts_ms"),
+                F.lit(0).cast("long").alias("low_seq"),
+                at(1992 + k, 7).alias("high_ts_ms"),
+                F.lit(0).cast("long").alias("high_seq"),
+            )
+            for k in range(SNAPSHOT_CHUNKS)
+        ],
+    )
+    return change_output(handover.hand_over(chunks, windows, views.line_bronze(spark, sf_dir)))
+
+
 # The silver layer
 
 
@@ -296,12 +361,70 @@ def silver_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     into a silver table."""
     root = run_folder(spark, "silver_merge_stream")
     ingest_events(spark, sf_dir, root)
-    silver_table = SilverTable(f"{root}/silver", schemas.BILLS)
+    silver_table = ChangeTable(f"{root}/silver", schemas.BILLS)
     bronze = topics.file_stream(spark, f"{root}/bronze", schemas.BRONZE)
     start_silver(bronze, silver_table, f"{root}/merge", trigger=ALL_AVAILABLE).awaitTermination()
     return bill_output(read_current(spark, silver_table))
 
 
+@query
+def merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in a snapshot, line items merged on top in three batches of which the first comes twice and
+    is folded; read with the other two laid over."""
+    table = ChangeTable(f"{run_folder(spark, 'merge_on_read')}/bills", schemas.BILLS, fold_share=1000.0)
+    change_table.append_changes(spark, table, views.order_bronze(spark, sf_dir))
+    change_table.fold(spark, table)
+    lines = views.line_bronze(spark, sf_dir)
+    for batch in (0, 0, 1, 2):
+        change_table.append_changes(spark, table, lines.where(F.pmod(F.xxhash64("id", "seq"), F.lit(3)) == batch))
+        if batch == 0:
+            change_table.fold(spark, table)
+    return bill_output(read_current(spark, table))
+
+
+@query
+def evolve_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table that takes up columns its bills do not declare: a nested one whose second field comes
+    with a later batch; rows from before have nulls."""
+    root = run_folder(spark, "evolve_on_write")
+    table = ChangeTable(f"{root}/bills", schemas.BILLS, evolve=True, fold_share=1000.0)
+    change_table.append_changes(spark, table, views.order_bronze(spark, sf_dir))
+    change_table.fold(spark, table)
+    lines = views.line_bronze_wider(spark, sf_dir)
+    first = F.col("seq") < 2 * views.LINE_STEP
+    for batch in (lines.where(first), lines.where(~first)):
+        change_table.append_changes(spark, table, batch)
+    return plain_money(read_current(spark, table)).select(
+        "id",
+        "status",
+        "amount",
+        F.col("line").cast("long").alias("line"),
+        F.coalesce("bought.part", "bought.whole").cast("double").alias("bought"),
+    )
+
+
+@query
+def keyed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in several files, out of order and every file twice, through keyed state: the last change of
+    each key that comes out is its newest."""
+    root = run_folder(spark, "keyed_stream")
+    bronze = views.event_bronze(spark, sf_dir)
+    for time in ("first", "again"):
+        bronze.repartition(2, "seq").write.mode("append").parquet(f"{root}/bronze")
+    stream = keyed.advancing(topics.file_stream(spark, f"{root}/bronze", schemas.BRONZE, max_files=1))
+    (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(**ALL_AVAILABLE)
+        .start(f"{root}/advances")
+        .awaitTermination()
+    )
+    advances = spark.read.schema(schemas.BRONZE).parquet(f"{root}/advances")
+    once = advances.groupBy("id", "ts_ms", "seq").count().agg(F.max("count").alias("times"))
+    newest = change_output(latest.latest_per_key(advances, "id"))
+    return newest.withColumn("times", once.scalar())
+
+
 @query
 def replica_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = silver.as_silver(views.invoices(spark, sf_dir))
@@ -313,7 +436,7 @@ def replica_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replica_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events upserted into a replica as a stream, deletes ignored."""
     root = run_folder(spark, "replica_stream")
-    replica = SilverTable(f"{root}/replica", schemas.BILLS)
+    replica = ChangeTable(f"{root}/replica", schemas.BILLS)
     bronze = views.bronze_rows(views.event_envelopes(views.event_stream(spark, sf_dir)))
     start_replica(bronze, replica, f"{root}/checkpoint", trigger=ALL_AVAILABLE).awaitTermination()
     return bill_output(read_current(spark, replica))
@@ -442,6 +565,34 @@ def kpi_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi_over(spark, sf_dir, merged_bills(spark, sf_dir))
 
 
+def mart_differences(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What merging the line items changes in the bills that the orders made, and the totals before."""
+    stored = silver.merge_changes(silver.empty_silver(spark, schemas.BILLS), views.order_bronze(spark, sf_dir), schemas.BILLS)
+    ops = (*changelog.WRITE_OPS, changelog.DELETE_OP)
+    newest = silver.newest_changes(views.line_bronze(spark, sf_dir), schemas.BILLS, "id", ops)
+    before = increments.inserted(silver.current_rows(stored))
+    return {"before": before, "changed": increments.differences(stored, newest)}
+
+
+@query
+def user_360_by_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user mart from bill totals before the line items and the differences they make."""
+    bills = mart_differences(spark, sf_dir)
+    totals = increments.bill_differences(bills["before"]).unionByName(increments.bill_differences(bills["changed"]))
+    devices = increments.device_differences(increments.inserted(views.devices(spark, sf_dir)))
+    return plain_money(increments.user_360(views.users(spark, sf_dir), devices, totals, AS_OF))
+
+
+@query
+def kpi_by_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI row from totals before the line items and the differences they make."""
+    bills = mart_differences(spark, sf_dir)
+    users, devices = increments.inserted(views.users(spark, sf_dir)), increments.inserted(views.devices(spark, sf_dir))
+    before = increments.kpi_differences(users, devices, bills["before"])
+    changed = increments.kpi_differences(users.limit(0), devices.limit(0), bills["changed"])
+    return plain_money(increments.executive_kpi(before.unionByName(changed), REPORT_DATE, AS_OF))
+
+
 @query
 def user_main_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.main_plan(views.bills(spark, sf_dir))

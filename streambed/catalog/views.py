@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,12 +228,39 @@ def messages(changes: DataFrame) -> DataFrame:
     return changes.select(F.explode(sent).alias("value"), "timestamp")
 
 
+# The writer schemas of ``versioned_messages``: its names for a bill's columns, by id.
+OLD_SCHEMA, RENAMED_SCHEMA, UNKNOWN_SCHEMA = 20, 21, 22
+RENAMED = {"amount": "total", "status": "state"}
+
+
+def writer_schemas() -> dict[int, str]:
+    """The first schema lacks the plan; the second calls amount and status otherwise."""
+    old = [name for name in schemas.BILLS.names if name != "plan_type"]
+    renamed = [RENAMED.get(name, name) for name in schemas.BILLS.names]
+    record = lambda names: json.dumps({"type": "record", "name": "cam_bills", "fields": [{"name": n} for n in names]})
+    return {OLD_SCHEMA: record(old), RENAMED_SCHEMA: record(renamed)}
+
+
+def versioned_messages(changes: DataFrame) -> DataFrame:
+    """Envelopes as framed messages of several writers: snapshot rows under the first schema, inserts
+    under one that nobody registered, the rest under the second."""
+    renamed = F.col("text")
+    for name, called in RENAMED.items():
+        renamed = F.replace(renamed, F.lit(f'"{name}":'), F.lit(f'"{called}":'))
+    framed = (
+        F.when(F.col("op") == "r", wire.frame(OLD_SCHEMA, F.regexp_replace("text", ',"plan_type":"[a-z]*"', "")))
+        .when(F.col("op") == "c", wire.frame(UNKNOWN_SCHEMA, F.col("text")))
+        .otherwise(wire.frame(RENAMED_SCHEMA, renamed))
+    )
+    text = F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("text")
+    return changes.select("op", text, "timestamp").select(framed.alias("value"), "timestamp")
+
+
 def bronze_rows(changes: DataFrame) -> DataFrame:
     """Envelopes as bronze rows without the way over the wire."""
     from streambed.operators.changelog import flatten_envelope
 
-    texts = [F.to_json(part).alias(part) for part in ("before", "after", "source")]
-    data = F.struct(*texts, "op", "ts_ms")
+    data = F.struct("before", "after", "source", "op", "ts_ms")
     return flatten_envelope(changes.select(data.alias("data"), "timestamp"))
 
 
@@ -264,6 +293,22 @@ def line_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_rows(line_envelopes(spark, sf_dir))
 
 
+def line_bronze_wider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items' changes with two columns that bills do not declare: the line, and what is bought, a
+    whole number for the first lines and one with decimals for the others."""
+    log = line_bronze(spark, sf_dir)
+    line = F.floor(F.col("seq") / LINE_STEP)
+    part = F.col("seq") % LINE_STEP
+    extra = F.to_json(
+        F.struct(
+            line.alias("line"),
+            F.struct(F.when(line == 1, part).alias("whole"), F.when(line > 1, part + F.lit(0.5)).alias("part")).alias("bought"),
+        )
+    )
+    merged = F.concat(F.expr("substring(after, 1, length(after) - 1)"), F.lit(","), F.expr("substring(extra, 2)"))
+    return log.withColumn("extra", extra).withColumn("after", merged).drop("extra")
+
+
 def bill_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log of all bills: orders, then their line items."""
     return order_bronze(spark, sf_dir).unionByName(line_bronze(spark, sf_dir))

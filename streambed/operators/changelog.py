@@ -22,33 +22,17 @@ Decoder = Callable[[Column], Column]
 def json_envelope() -> Decoder:
     """Decode a JSON payload to the envelope; a bad payload gives a struct of nulls.
 
-    Both images and ``source`` keep all their fields, declared or not, and numbers up to 38 digits as
-    they were sent; as text the fields stand in order of their names. They get types in silver only.
+    Both images and ``source`` are variants: they keep all their fields, declared or not, and numbers up
+    to 38 digits as they were sent. They get types in silver only.
     """
-
-    def decode(payload: Column) -> Column:
-        data = F.from_json(payload.cast("string"), schemas.ENVELOPE, {"mode": "PERMISSIVE"})
-
-        def texts(d: Column) -> Column:
-            parts = [F.when(~F.is_variant_null(d[p]), F.to_json(d[p])).alias(p) for p in ("before", "after", "source")]
-            return F.struct(*parts, d["op"].alias("op"), d["ts_ms"].alias("ts_ms"))
-
-        # Bound to a variable, so that a message is parsed once however many fields are taken of it.
-        return F.transform(F.array(data), texts)[0]
-
-    return decode
+    return lambda payload: F.from_json(payload.cast("string"), schemas.ENVELOPE, {"mode": "PERMISSIVE"})
 
 
 def avro_envelope(schema_json: str) -> Decoder:
-    """Decode an Avro payload; needs the spark-avro package on the session."""
+    """Decode an Avro payload to structs; needs the spark-avro package on the session."""
     from pyspark.sql.avro.functions import from_avro
 
-    def decode(payload: Column) -> Column:
-        data = from_avro(payload, schema_json, {"mode": "PERMISSIVE"})
-        texts = [F.to_json(data[part]).alias(part) for part in ("before", "after", "source")]
-        return F.struct(*texts, data["op"].alias("op"), data["ts_ms"].alias("ts_ms"))
-
-    return decode
+    return lambda payload: from_avro(payload, schema_json, {"mode": "PERMISSIVE"})
 
 
 def drop_tombstones(raw: DataFrame) -> DataFrame:
@@ -65,17 +49,36 @@ def decode_messages(raw: DataFrame, decode: Decoder) -> DataFrame:
     )
 
 
+def _part(decoded: DataFrame, name: str) -> T.DataType:
+    return decoded.schema["data"].dataType[name].dataType
+
+
+def _text(decoded: DataFrame, name: str) -> Column:
+    """A part of the envelope as JSON text; of a variant the fields stand in order of their names."""
+    part = F.col(f"data.{name}")
+    if isinstance(_part(decoded, name), T.VariantType):
+        return F.when(~F.is_variant_null(part), F.to_json(part))
+    return F.to_json(part)
+
+
+def _field(decoded: DataFrame, name: str, field: str, kind: str) -> Column:
+    """One field of a part of the envelope, null where it is missing or does not fit."""
+    whole = _part(decoded, name)
+    if isinstance(whole, T.VariantType):
+        return F.try_variant_get(F.col(f"data.{name}"), f"$.{field}", kind)
+    return F.col(f"data.{name}")[field].try_cast(kind) if field in whole.names else F.lit(None).cast(kind)
+
+
 def flatten_envelope(decoded: DataFrame, pk: str = "id") -> DataFrame:
-    """Bronze columns of decoded messages. Narrow: no shuffle, so it also runs on streams."""
-    key = [F.get_json_object(f"data.{image}", f"$.{pk}") for image in ("after", "before")]
+    """Bronze columns of decoded messages, whose images and source are variants or structs: texts, key
+    and position come out of the parsed message in one select. Narrow: no shuffle, so it also runs on
+    streams."""
     return decoded.select(
-        F.coalesce(*key).alias("id"),
-        F.col("data.before").alias("before"),
-        F.col("data.after").alias("after"),
-        F.col("data.source").alias("source"),
+        F.coalesce(*[_field(decoded, image, pk, "string") for image in ("after", "before")]).alias("id"),
+        *[_text(decoded, part).alias(part) for part in ("before", "after", "source")],
         F.col("data.op").alias("op"),
         F.col("data.ts_ms").alias("ts_ms"),
-        F.get_json_object("data.source", "$.lsn").try_cast("long").alias("seq"),
+        _field(decoded, "source", "lsn", "long").alias("seq"),
         *moments.calendar_parts(F.col("timestamp")),
     )
 
@@ -127,32 +130,33 @@ def first_image(changes: DataFrame, order: tuple[str, ...] = ("ts_ms", "seq")) -
     )
 
 
-def variant_type(text: str) -> T.DataType:
+def variant_type(text: str, void: T.DataType = T.StringType()) -> T.DataType:
     """The type that a variant's schema text names, e.g. ``OBJECT<id: BIGINT, `odd name`: ARRAY<VOID>>``.
 
-    Values of mixed type and values that are always null become strings.
+    Values of mixed type become strings, and so do those that are always null unless ``void`` says else.
     """
-    kind, rest = _variant_type(text)
+    kind, rest = _variant_type(text, void)
     if rest:
         raise ValueError(f"not a type: {text}")
     return kind
 
 
-def _variant_type(text: str) -> tuple[T.DataType, str]:
+def _variant_type(text: str, void: T.DataType) -> tuple[T.DataType, str]:
     """The type at the text's start, and the text after it."""
     if text.startswith("OBJECT<"):
         fields, rest = [], text[len("OBJECT<") :]
         while not rest.startswith(">"):
             name, rest = _field_name(rest)
-            kind, rest = _variant_type(rest)
+            kind, rest = _variant_type(rest, void)
             fields.append(T.StructField(name, kind))
             rest = rest.removeprefix(", ")
         return T.StructType(fields), rest[1:]
     if text.startswith("ARRAY<"):
-        kind, rest = _variant_type(text[len("ARRAY<") :])
+        kind, rest = _variant_type(text[len("ARRAY<") :], void)
         return T.ArrayType(kind), rest[1:]
     word = re.match(r"\w+(\([^)]*\))?", text)[0]
-    return T.StringType() if word in ("VOID", "VARIANT") else T.DataType.fromDDL(word), text[len(word) :]
+    named = {"VOID": void, "VARIANT": T.StringType()}
+    return named[word] if word in named else T.DataType.fromDDL(word), text[len(word) :]
 
 
 def _field_name(text: str) -> tuple[str, str]:

@@ -87,7 +87,8 @@ def crud_changes(bronze: DataFrame, pk: str = "id", order: tuple[str, ...] = NEW
 
 
 def crud_reconstruct(bronze: DataFrame, row_schema: T.StructType, pk: str = "id") -> DataFrame:
-    return changelog.expand_payload(crud_changes(bronze, pk), row_schema, F.col("after"))
+    needed = bronze.select(pk, "after", "op", *NEWEST)
+    return changelog.expand_payload(crud_changes(needed, pk), row_schema, F.col("after"))
 
 
 def newest_changes(changes: DataFrame, row_schema: T.StructType, pk: str, ops: tuple[str, ...]) -> DataFrame:

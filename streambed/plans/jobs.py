@@ -17,8 +17,10 @@ from streambed.operators import changelog, contract, latest
 from streambed.plans import marts
 from streambed.session import build_session
 from streambed.sinks.files import export_mart
+from streambed.sinks import change_table
 from streambed.sinks import silver_table as st
-from streambed.sinks.silver_table import SilverTable, read_current
+from streambed.sinks.change_table import ChangeTable
+from streambed.sinks.silver_table import read_current
 from streambed.sources import lake, topics
 from streambed.streaming.bronze import ALL_AVAILABLE, EVERY_TEN_MINUTES, start_bronze, start_quarantine
 from streambed.streaming.silver import start_silver
@@ -34,8 +36,8 @@ MART_KEYS = {
 }
 
 
-def silver_table(root: str, name: str) -> SilverTable:
-    return SilverTable(f"{root}/silver/{name}", schemas.TABLES[name])
+def silver_table(root: str, name: str) -> ChangeTable:
+    return ChangeTable(f"{root}/silver/{name}", schemas.TABLES[name], evolve=True)
 
 
 def run_bronze(
@@ -99,6 +101,12 @@ def run_silver(
     return failures
 
 
+def run_fold(spark: SparkSession, root: str) -> dict:
+    """Fold every silver table's changes into its next snapshot, beside running merges."""
+    _, failures = for_each_table(schemas.TABLES, lambda name: change_table.fold(spark, silver_table(root, name)))
+    return failures
+
+
 def read_silver(spark: SparkSession, root: str, name: str, required: bool = False) -> DataFrame:
     """Live silver rows; an optional table that does not exist yet has none."""
     table = silver_table(root, name)
@@ -160,7 +168,7 @@ def run_check(spark: SparkSession, root: str, layer: str = "silver") -> dict:
 def main(argv: list[str] | None = None) -> None:
     """Run one job; the exit code is 1 if any table failed."""
     parser = argparse.ArgumentParser(description="change-data-capture lakehouse jobs")
-    parser.add_argument("job", choices=["bronze", "silver", "gold", "check"])
+    parser.add_argument("job", choices=["bronze", "silver", "fold", "gold", "check"])
     parser.add_argument("--root", required=True, help="lake folder all executors can reach")
     parser.add_argument("--servers", default="localhost:9092", help="bronze: bootstrap servers")
     parser.add_argument("--prefix", default="cdc_data.public", help="bronze: topic name before the table")
@@ -183,6 +191,8 @@ def main(argv: list[str] | None = None) -> None:
         failed = run_bronze(spark, args.root, args.servers, args.prefix, avro, max_offsets=args.max_offsets)
     elif args.job == "silver":
         failed = run_silver(spark, args.root, args.continuous, args.max_files)
+    elif args.job == "fold":
+        failed = run_fold(spark, args.root)
     elif args.job == "gold":
         print(run_gold(spark, args.root, args.report_date))
     else:

@@ -26,17 +26,18 @@ def user_columns(users: DataFrame) -> DataFrame:
     return users.select(F.col("id").try_cast("long").alias("user_id"), F.col("name").alias("user_name"), "email")
 
 
-def device_columns(devices: DataFrame) -> DataFrame:
+def device_columns(devices: DataFrame, *more: Column) -> DataFrame:
     return devices.select(
         F.col("id").try_cast("long").alias("device_id"),
         F.col("name").alias("device_name"),
         "device_type",
         F.col("status").alias("device_status"),
         F.col("owner_id").try_cast("long").alias("owner_id"),
+        *more,
     )
 
 
-def bill_columns(bills: DataFrame) -> DataFrame:
+def bill_columns(bills: DataFrame, *more: Column) -> DataFrame:
     return bills.select(
         F.col("id").try_cast("long").alias("bill_id"),
         F.col("user_id").try_cast("long").alias("bill_user_id"),
@@ -45,6 +46,7 @@ def bill_columns(bills: DataFrame) -> DataFrame:
         "plan_type",
         F.col("status").alias("bill_status"),
         F.col("updated_at").try_cast("long").alias("billed_at"),
+        *more,
     )
 
 
@@ -194,6 +196,11 @@ def executive_kpi(
         one_row(bill_columns(bills), revenue=paid_amount(), paid=F.count(F.when(paid, F.col("bill_id")))),
     ]
     added = reduce(DataFrame.unionByName, parts).agg(*[F.sum(n).cast(t).alias(n) for n, t in totals.items()])
+    return kpi_row(added, report_date, as_of)
+
+
+def kpi_row(added: DataFrame, report_date: str, as_of: str | None) -> DataFrame:
+    """The report's columns from one row of users, devices, online, revenue and paid."""
     return added.select(
         F.lit(report_date).alias("report_date"),
         F.col("users").alias("total_registered_users"),

@@ -8,6 +8,9 @@ begun on it; older ones are removed.
 Nothing remembers which batches were merged: a change carries its position, and one that is not newer
 than the stored row changes nothing. Batches may so be replayed, repeated or come from a stream that
 was started anew.
+
+Every merge writes the whole table: right where a batch touches most of it. ``change_table`` has the
+tables whose merges cost what changed; the functions here take either.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from streambed.operators import silver
+from streambed.sinks import change_table
+from streambed.sinks.change_table import ChangeTable
 from streambed.sources import lake
 
 
@@ -44,24 +49,31 @@ def finished(spark: SparkSession, table: SilverTable) -> list[int]:
     return [n for n in _numbers(spark, table) if lake.path_exists(spark, f"{table.snapshot(n)}/_SUCCESS")]
 
 
-def exists(spark: SparkSession, table: SilverTable) -> bool:
+def exists(spark: SparkSession, table: SilverTable | ChangeTable) -> bool:
+    if isinstance(table, ChangeTable):
+        return change_table.exists(spark, table)
     return bool(finished(spark, table))
 
 
-def read_rows(spark: SparkSession, table: SilverTable) -> DataFrame:
+def read_rows(spark: SparkSession, table: SilverTable | ChangeTable) -> DataFrame:
     """All stored rows, the hidden columns included."""
+    if isinstance(table, ChangeTable):
+        return change_table.read_rows(spark, table)
     whole = finished(spark, table)
     if not whole:
         return spark.createDataFrame([], table.schema)
     return spark.read.schema(table.schema).parquet(table.snapshot(whole[-1]))
 
 
-def read_current(spark: SparkSession, table: SilverTable) -> DataFrame:
+def read_current(spark: SparkSession, table: SilverTable | ChangeTable) -> DataFrame:
     return silver.current_rows(read_rows(spark, table))
 
 
-def apply_changes(spark: SparkSession, table: SilverTable, changes: DataFrame) -> None:
-    """Merge a change batch (bronze rows) into the table: one read of the batch, one write of the table."""
+def apply_changes(spark: SparkSession, table: SilverTable | ChangeTable, changes: DataFrame) -> None:
+    """Merge a change batch (bronze rows) into the table: one read of the batch, one write of the table, or
+    of the changes."""
+    if isinstance(table, ChangeTable):
+        return change_table.append_changes(spark, table, changes)
     batch = changes.persist()
     try:
         if batch.isEmpty():

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from streambed.operators.changelog import WRITE_OPS
+from streambed.sinks.change_table import ChangeTable
 from streambed.sinks.silver_table import SilverTable, apply_changes
 from streambed.streaming.bronze import EVERY_TEN_MINUTES
 
 
 def start_silver(
-    bronze: DataFrame, table: SilverTable, checkpoint: str, name: str | None = None, trigger: dict | None = None
+    bronze: DataFrame, table: SilverTable | ChangeTable, checkpoint: str, name: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Merge every micro-batch; one that comes again, after a restart or from a new checkpoint, changes nothing."""
 
@@ -27,7 +28,7 @@ def start_silver(
 
 
 def start_replica(
-    bronze: DataFrame, table: SilverTable, checkpoint: str, name: str | None = None, trigger: dict | None = None
+    bronze: DataFrame, table: SilverTable | ChangeTable, checkpoint: str, name: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Like ``start_silver`` but deletes are ignored, so deleted rows stay in the replica."""
     return start_silver(bronze.where(bronze["op"].isin(*WRITE_OPS)), table, checkpoint, name, trigger)

@@ -1,0 +1,73 @@
+"""Keyed state: whatever order changes come in, those that go on end with the newest."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from streambed import schemas
+from streambed.operators import silver
+from streambed.operators.latest import latest_per_key
+from streambed.sinks import change_table as ct
+from streambed.sources import topics
+from streambed.streaming import keyed
+from streambed.streaming.bronze import ALL_AVAILABLE
+from tests.helpers import ROW, changes, rows
+from tests.test_streaming import write_bronze
+
+
+def run(spark, tmp_path, folder="bronze"):
+    stream = topics.file_stream(spark, str(tmp_path / folder), schemas.BRONZE, max_files=1)
+    query = (
+        keyed.advancing(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(**ALL_AVAILABLE).start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    return spark.read.schema(schemas.BRONZE).parquet(str(tmp_path / "out"))
+
+
+def test_late_repeated_and_unordered_batches_give_the_merges_rows(spark, tmp_path):
+    draw = random.Random(6)
+    log = [(draw.randrange(9), draw.choice("crud"), draw.randrange(40), draw.randrange(2)) for _ in range(90)]
+    log = list({(k, ts, seq): (k, op, ts, seq) for k, op, ts, seq in log}.values())
+    batches = [log[k::3] for k in range(3)]
+    for batch in [batches[1], batches[0], batches[1]]:
+        write_bronze(spark, str(tmp_path / "bronze"), batch)
+    first = run(spark, tmp_path).count()
+    write_bronze(spark, str(tmp_path / "bronze"), batches[2])
+    out = run(spark, tmp_path)
+    want = silver.merge_changes(silver.empty_silver(spark, ROW), changes(spark, log), ROW)
+    got = silver.merge_changes(silver.empty_silver(spark, ROW), out, ROW)
+    assert rows(got) == rows(want)
+    assert first <= 2 * 9 and out.count() <= 3 * 9
+    newest = latest_per_key(out, "id").count()
+    assert out.select("id", "ts_ms", "seq").distinct().count() == out.count() and newest == want.count()
+
+
+def test_null_positions_and_keys(spark, tmp_path):
+    write_bronze(spark, str(tmp_path / "bronze"), [("1", None, '{"id":1,"name":"x"}', "c", None, None)])
+    write_bronze(spark, str(tmp_path / "bronze"), [("1", None, '{"id":1,"name":"y"}', "u", 0, None), (None, None, None, "u", 9, 9)])
+    write_bronze(spark, str(tmp_path / "bronze"), [("1", None, '{"id":1,"name":"z"}', "u", None, 5)])
+    got = run(spark, tmp_path).orderBy(F.col("ts_ms").asc_nulls_first()).collect()
+    assert [(r["id"], r["ts_ms"], r["seq"]) for r in got] == [("1", None, None), ("1", 0, None)]
+
+
+def test_a_hot_key_is_cut_before_the_shuffle(spark, tmp_path):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pylist(
+        [{"id": "hot", "ts_ms": k % 50, "seq": k // 50, "n": k} for k in range(300)] + [{"id": "b", "ts_ms": None, "seq": None, "n": -1}]
+        + [{"id": "hot", "ts_ms": 49, "seq": 5, "n": 999}]
+    )
+    left = pa.Table.from_batches(list(keyed.newest_per_batch(iter([batch])))).to_pylist()
+    assert sorted((r["id"], r["n"]) for r in left) == [("b", -1), ("hot", 299)]
+
+
+def test_the_stream_feeds_a_change_table(spark, tmp_path):
+    from streambed.streaming.silver import start_silver
+
+    for log in ([(1, "c", 1), (2, "c", 1)], [(1, "u", 5)], [(2, "d", 2), (1, "u", 3)]):
+        write_bronze(spark, str(tmp_path / "bronze"), log)
+    stream = topics.file_stream(spark, str(tmp_path / "bronze"), schemas.BRONZE, max_files=1)
+    table = ct.ChangeTable(str(tmp_path / "t"), ROW)
+    start_silver(keyed.advancing(stream), table, str(tmp_path / "ck"), trigger=ALL_AVAILABLE).awaitTermination()
+    assert [(r["id"], r["name"]) for r in ct.read_current(spark, table).collect()] == [(1, "u@5")]

@@ -23,11 +23,13 @@ from streambed.llm import common
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
-# Chunks of text kept with their ids in each Python worker, and the longest chunk kept.
-KEPT_CHUNKS = 250_000
+# Chunks of text, and words, kept with their ids in each Python worker, and the longest ones kept.
+KEPT_CHUNKS, KEPT_WORDS = 250_000, 500_000
 KEPT_LENGTH = 48
 # Bytes up to which a word's pairs are looked through for each merge; a heap holds those of longer ones.
 SHORT = 64
+# Words that are merged together in one array.
+MERGED_TOGETHER = 1 << 16
 # Characters of text whose new words are proposed and verified together.
 GROUP_CHARS = 4 << 20
 
@@ -37,6 +39,7 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 # classes (tested); chunks with others go to the pre-tokenizer itself.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LATIN_END = "\u0250"
+_LATIN_CHUNK = re.compile(rf" [^{LATIN_END}-\U0010ffff]*(?<=\S)")
 
 
 class Vocabulary:
@@ -141,15 +144,24 @@ class Vocabulary:
         self._steps = keys[order]
         self._nodes = np.fromiter(steps.values(), np.int64, len(steps))[order]
         self._accepts = np.array(accepts)
+        # Most matches go two steps at least: these are looked up in tables, 0 where no token begins so.
+        self._first = np.array([steps[c] for c in range(256)])
+        second = [steps.get(int(node) << 8 | c, 0) for node in self._first for c in range(256)]
+        self._second = np.array(second)
 
     def propose(self, data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ids of greedy longest matches; ``room`` is the distance of each byte to its word's end.
 
         The longest token is sought from every byte at once, one step of the tree a time.
         """
-        token = np.full(len(data), -1, np.int64)
+        token = self._accepts[self._first[data]]
         length = np.ones(len(data), np.int64)
-        live, node, depth = np.arange(len(data)), np.zeros(len(data), np.int64), 0
+        live = np.flatnonzero(room > 1)
+        node, depth = self._second[data[live] << 8 | data[live + 1]], 2
+        live, node = live[node > 0], node[node > 0]
+        found = self._accepts[node]
+        token[live[found >= 0]], length[live[found >= 0]] = found[found >= 0], depth
+        live, node = live[room[live] > depth], node[room[live] > depth]
         while len(live):
             keys = node << 8 | data[live + depth]
             at = np.minimum(np.searchsorted(self._steps, keys), len(self._steps) - 1)
@@ -218,10 +230,60 @@ class Vocabulary:
         bounds = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
         ids = tokens.astype("<i4")
         out = [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+        short = [k for k in failing.tolist() if len(words[k]) <= SHORT]
+        for k, merged in zip(short, self.merge_all([words[k] for k in short])):
+            out[k] = merged
         for k in failing.tolist():
-            out[k] = np.array(self.merge(words[k]), "<i4").tobytes()
+            if len(words[k]) > SHORT:
+                out[k] = np.array(self.merge(words[k]), "<i4").tobytes()
         return out, len(failing)
 
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What adjacent tokens merge to; ``size`` where they do not."""
+        keys = a * self.size + b
+        at = np.minimum(np.searchsorted(self._pairs, keys), len(self._pairs) - 1)
+        return np.where(self._pairs[at] == keys, self._merged[at], self.size)
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """``merge`` of many short words at once, those of similar length together, as 32-bit ids."""
+        out = [b""] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for low in range(0, SHORT, 8):
+            group = np.flatnonzero((lengths > low) & (lengths <= low + 8))
+            for at in range(0, len(group), MERGED_TOGETHER):
+                some = group[at : at + MERGED_TOGETHER].tolist()
+                for k, merged in zip(some, self._merge_rows([words[k] for k in some])):
+                    out[k] = merged
+        return out
+
+    def _merge_rows(self, words: list[bytes]) -> list[bytes]:
+        """In each step every word's first pair of least rank is merged; -1 fills the rows' ends."""
+        width = max(map(len, words))
+        data = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
+        left = np.fromiter(map(len, words), np.int64, len(words))
+        places = np.arange(width)
+        ids = np.where(places < left[:, None], np.array(self.byte_ids)[data], -1)
+        ranks = np.where(ids[:, 1:] >= 0, self.ranks(ids[:, :-1], ids[:, 1:]), self.size)
+        live = np.arange(len(words))
+        while len(live) and ranks.shape[1]:
+            at = ranks[live].argmin(1)
+            merged = ranks[live, at]
+            live, at, merged = live[merged < self.size], at[merged < self.size], merged[merged < self.size]
+            rows, k = ids[live], at[:, None]
+            rows[np.arange(len(live)), at] = merged
+            closed = np.concatenate([rows, np.full((len(live), 1), -1)], axis=1)
+            rows = np.take_along_axis(closed, places + (places > k), 1)
+            pairs = np.concatenate([ranks[live], np.full((len(live), 1), self.size)], axis=1)
+            pairs = np.take_along_axis(pairs, places[:-1] + (places[:-1] >= k), 1)
+            for beside in (at - 1, at):
+                some = np.flatnonzero((beside >= 0) & (beside < width - 1))
+                a, b = rows[some, beside[some]], rows[some, beside[some] + 1]
+                pairs[some, beside[some]] = np.where(b >= 0, self.ranks(a, b), self.size)
+            ids[live], ranks[live] = rows, pairs
+            left[live] -= 1
+        packed = ids.astype("<i4")
+        return [row[:n].tobytes() for row, n in zip(packed, left.tolist())]
+
 
 class Encoder:
     """Ids of whole texts. Chunks between blanks repeat, so each worker keeps their ids."""
@@ -229,6 +291,7 @@ class Encoder:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.known: dict[str, bytes] = {}
+        self.known_words: dict[str, bytes] = {}
         self.words = self.merged = 0
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -271,27 +334,45 @@ class Encoder:
 
     def _encode(self, chunks: list[str]) -> dict[str, bytes]:
         """The chunks' ids. Chunks of Latin text are split into words together, others one by one."""
-        places, owners, words = {}, [], []
-        together = [k for k, c in enumerate(chunks) if c[0] == " " and max(c) < LATIN_END and not c[-1].isspace()]
-        found = _WORDS.findall("".join([chunks[k] for k in together]))
-        ends = np.cumsum(np.fromiter((len(chunks[k]) for k in together), np.int64, len(together)))
-        last = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) - 1
-        owners.append(np.array(together, np.int64)[np.searchsorted(ends, last, "right")])
-        words.append([places.setdefault(word.encode(), len(places)) for word in found])
-        alone = set(range(len(chunks))).difference(together)
-        for k in alone:
-            found = [word.translate(self.vocabulary.to_bytes) for word, _ in self.vocabulary.pre_tokenize(chunks[k])]
-            owners.append(np.full(len(found), k))
-            words.append([places.setdefault(word.encode("latin-1"), len(places)) for word in found])
-        if not places:
-            return {}
-        ids, merged = self.vocabulary.encode_words(list(places))
-        self.words += len(places)
+        together = [chunk for chunk in chunks if _LATIN_CHUNK.fullmatch(chunk)]
+        alone = set(chunks).difference(together)
+        words = _WORDS.findall("".join(together))
+        ids = self._word_ids(words)
+        out, word = {}, iter(words)
+        for chunk in together:
+            parts, left = [], len(chunk)
+            while left:
+                part = next(word)
+                left -= len(part)
+                parts.append(ids[part])
+            out[chunk] = parts[0] if len(parts) == 1 else b"".join(parts)
+        for long in [w for w in words if len(w) > KEPT_LENGTH]:
+            ids.pop(long, None)
+        split = [
+            (chunk, [w.translate(self.vocabulary.to_bytes).encode("latin-1") for w, _ in self.vocabulary.pre_tokenize(chunk)])
+            for chunk in alone
+        ]
+        words = list({word for _, spelled in split for word in spelled})
+        if words:
+            ids = dict(zip(words, self._new(words)))
+            out.update((chunk, b"".join(map(ids.__getitem__, spelled))) for chunk, spelled in split)
+        return out
+
+    def _new(self, words: list[bytes]) -> list[bytes]:
+        ids, merged = self.vocabulary.encode_words(words)
+        self.words += len(words)
         self.merged += merged
-        out = [[] for _ in chunks]
-        for k, word in zip(np.concatenate(owners).tolist(), (w for part in words for w in part)):
-            out[k].append(ids[word])
-        return {chunk: b"".join(parts) for chunk, parts in zip(chunks, out)}
+        return ids
+
+    def _word_ids(self, words: list[str]) -> dict[str, bytes]:
+        """Ids by word, of at least the given ones; new words are proposed and verified together."""
+        if len(self.known_words) > KEPT_WORDS:
+            self.known_words = {}
+        known = self.known_words
+        new = list({word for word in words if word not in known})
+        if new:
+            known.update(zip(new, self._new([word.encode() for word in new])))
+        return known
 
 
 @lru_cache(maxsize=2)

@@ -200,6 +200,12 @@ SQL: dict[str, str] = {
     ),
     "bronze_ingest_batch": INGEST,
     "bronze_ingest_stream": INGEST,
+    "stream_progress": with_views(
+        "event_log",
+        """SELECT 'stream_progress' AS name, CAST(3 AS BIGINT) AS batches,
+            CAST(count(*) + count(CASE WHEN op = 'd' THEN 1 END) AS BIGINT) AS input_rows, CAST(2 AS BIGINT) AS runs,
+            CAST(1 AS BIGINT) AS failed_runs, CAST(count(*) AS BIGINT) AS bronze_rows FROM event_log""",
+    ),
     "bronze_partition_cols": f"SELECT event_id, {PARTS.format('ts')} FROM events",
     "bronze_inspect": with_views(
         "event_log",
@@ -403,6 +409,17 @@ SQL: dict[str, str] = {
             device_id, event_type, severity, firmware_version, ip_address, fps, bitrate_kbps, duration_sec, error_code,
             CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month FROM device_logs""",
     ),
+    "file_stream_facts": with_views(
+        "device_logs",
+        """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date,
+            device_id, event_type, severity, firmware_version, ip_address, fps, bitrate_kbps, duration_sec, error_code,
+            CAST(1 AS BIGINT) AS rejected FROM device_logs""",
+    ),
+    "monthly_devices": with_views(
+        "device_logs",
+        """SELECT strftime(ts, '%Y-%m') AS month, event_type, CAST(count(*) AS BIGINT) AS events,
+            count(DISTINCT device_id) AS exact_devices, true AS within FROM device_logs GROUP BY 1, 2""",
+    ),
     "payment_fact": with_views(
         "invoices payments0 payments",
         """SELECT partner_trans_id, bill_id, user_id, payment_gateway, CAST(trans_amount AS DOUBLE) AS trans_amount,
@@ -445,6 +462,12 @@ SQL: dict[str, str] = {
     ),
     "timed_stream": INGEST,
     "overwrite_table": with_views("customer_users", "SELECT * FROM customer_users"),
+    "numbered_rows": """
+        WITH n AS (SELECT (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM supplier) AS s)
+        SELECT 'first' AS step, c AS table_rows, c AS keys, CAST(1 AS BIGINT) AS least, c AS most, c AS high_water FROM n
+        UNION ALL SELECT 'second', c + s, c + s, 1, c + s, c + s FROM n
+        UNION ALL SELECT 'truncated', 0, 0, NULL, NULL, 0 FROM n
+        UNION ALL SELECT 'again', c, c, 1, c, c FROM n""",
     "truncate_table": with_views(
         "customer_users supplier_users users",
         """SELECT 'full' AS state, count(*) AS table_rows FROM users

@@ -13,18 +13,20 @@ from streambed import schemas
 from streambed.catalog import views
 from streambed.functions import business, moments, text, wire
 from streambed.operators import changelog, contract, edits, handover, latest, silver, versions
-from streambed.plans import facts, increments, marts
+from streambed.plans import facts, increments, marts, sketches
 from streambed.session import run_folder
-from streambed.sinks import change_table
+from streambed.sinks import change_table, numbered
 from streambed.sinks import files as file_sinks
 from streambed.sinks.change_table import ChangeTable
+from streambed.sinks.numbered import NumberedTable
 from streambed.sinks.silver_table import read_current
 from streambed.sources import files as file_sources
 from streambed.sources import lake, topics
-from streambed.streaming import keyed
+from streambed.streaming import files as file_streams
+from streambed.streaming import keyed, progress
 from streambed.streaming.bronze import ALL_AVAILABLE, start_bronze
 from streambed.streaming.silver import start_replica, start_silver
-from streambed.streaming.supervise import for_each_table
+from streambed.streaming.supervise import for_each_table, keep_running
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -113,14 +115,15 @@ def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_output(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
+    source = F.from_json("source", schemas.columns("table STRING, txId BIGINT"))
+    return bronze.withColumn("origin", source).select(
         "id",
         "op",
         "ts_ms",
         "seq",
         F.from_json("after", schemas.BILLS)["amount"].cast("double").alias("amount"),
-        F.get_json_object("source", "$.table").alias("source_table"),
-        F.get_json_object("source", "$.txId").cast("long").alias("transaction"),
+        F.col("origin.table").alias("source_table"),
+        F.col("origin.txId").alias("transaction"),
         "year",
         "month",
         "day",
@@ -157,6 +160,40 @@ def timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_output(spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze"))
 
 
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The progress table of the bronze stream over three files of events, whose first run fails in its second
+    batch and is started again."""
+    root = run_folder(spark, "stream_progress")
+    views.event_messages(spark, sf_dir).repartition(3).write.parquet(f"{root}/in")
+    listener = progress.ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(listener)
+    runs: list[str] = []
+
+    def start():
+        raw = topics.file_stream(spark, f"{root}/in", schemas.RAW_MESSAGE, max_files=1)
+        bronze = changelog.to_bronze(raw, bill_decoder())
+
+        def keep(batch: DataFrame, number: int) -> None:
+            if len(runs) == 1 and number == 1:
+                raise RuntimeError("first run stops here")
+            batch.write.mode("overwrite").parquet(f"{root}/bronze/batch={number}")
+
+        stream = bronze.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint")
+        started = stream.queryName("stream_progress").trigger(**ALL_AVAILABLE).start()
+        runs.append(str(started.runId))
+        return started
+
+    try:
+        keep_running(spark, {"events": start}, poll_seconds=1)
+        listener.wait_for_end(runs)
+    finally:
+        spark.streams.removeListener(listener)
+    found = progress.summary(progress.read_progress(spark, f"{root}/progress"))
+    taken_in = spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze").agg(F.count(F.lit(1)).alias("n"))
+    return found.select("name", "batches", "input_rows", "runs", "failed_runs").withColumn("bronze_rows", taken_in.scalar())
+
+
 BILL_READER = [
     versions.ReaderField(name, {"amount": ("total",), "status": ("state",)}.get(name, ()), "monthly" if name == "plan_type" else None)
     for name in schemas.BILLS.names
@@ -617,12 +654,12 @@ def vip_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bills_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.bills_by_day(views.bills(spark, sf_dir))
+    return plain_money(marts.bills_by_day(views.bills(spark, sf_dir)))
 
 
 @query
 def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.monthly_revenue(views.bills(spark, sf_dir))
+    return plain_money(marts.monthly_revenue(views.bills(spark, sf_dir)))
 
 
 @query
@@ -662,6 +699,27 @@ def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_required(spark, path)
 
 
+@query
+def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and then suppliers numbered from a stored counter; the table truncated, its counter
+    restarted; customers numbered again: rows and keys after each step."""
+    table = NumberedTable(f"{run_folder(spark, 'numbered_rows')}/users", schemas.USERS)
+    first, second = (view(spark, sf_dir).drop("id") for view in (views.customer_users, views.supplier_users))
+    states = []
+
+    def note(step: str) -> None:
+        found = numbered.read_rows(spark, table).agg(
+            F.count(F.lit(1)).alias("table_rows"), F.count_distinct("id").alias("keys"), F.min("id").alias("least"), F.max("id").alias("most")
+        )
+        row = found.first()
+        states.append((step, *row, numbered.high_water(spark, table)))
+
+    for step, rows in (("first", first), ("second", second), ("truncated", None), ("again", first)):
+        numbered.append_rows(spark, table, rows) if rows is not None else numbered.truncate(spark, [table])
+        note(step)
+    return spark.createDataFrame(states, "step string, table_rows long, keys long, least long, most long, high_water long")
+
+
 @query
 def truncate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the stored accounts before and after they are emptied."""
@@ -701,18 +759,61 @@ def device_logs_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{run_folder(spark, 'payments')}/files"
     file_sinks.write_payments(views.payments_of(views.invoices(spark, sf_dir)), folder)
-    return facts.payment_fact(file_sources.accepted(file_sources.scan_payments(spark, folder)))
+    return plain_money(facts.payment_fact(file_sources.accepted(file_sources.scan_payments(spark, folder))))
+
+
+@query
+def file_stream_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device logs in files through the file stream: the second run finds the first run's files again and
+    one with a broken record."""
+    root = run_folder(spark, "file_stream_facts")
+    logs = views.device_logs(spark, sf_dir)
+    later = F.col("severity") == "ERROR"
+
+    def run() -> None:
+        stream = file_streams.arriving(spark, file_streams.LOGS, f"{root}/files")
+        paths = f"{root}/facts", f"{root}/rejected", f"{root}/checkpoint"
+        file_streams.start_files(stream, file_streams.LOGS, *paths, trigger=ALL_AVAILABLE).awaitTermination()
+
+    file_sinks.write_device_logs(logs.where(~later), f"{root}/files")
+    run()
+    file_sinks.write_device_logs(logs, f"{root}/files")
+    broken = logs.where(later).orderBy("event_id").limit(1).select(F.concat(F.lit("broken "), "event_id").alias("value"))
+    broken.write.text(f"{root}/files/year=2024/month=01/broken")
+    run()
+    found = file_streams.read_facts(spark, file_streams.LOGS, f"{root}/facts")
+    rejected = spark.read.schema("_file string, record string").parquet(f"{root}/rejected")
+    return found.withColumn("rejected", rejected.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+@query
+def monthly_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct devices by month from stored daily sketches, held against the exact count: within four
+    standard errors."""
+    folder = f"{run_folder(spark, 'monthly_devices')}/daily"
+    logs = views.device_logs(spark, sf_dir)
+    sketches.daily_devices(logs).write.parquet(folder)
+    rolled = sketches.rolled_up(spark.read.parquet(folder))
+    off = F.abs(F.col("devices") - F.col("exact_devices"))
+    return rolled.join(sketches.exact(logs), ["month", "event_type"]).select(
+        F.date_format("month", "yyyy-MM").alias("month"),
+        "event_type",
+        "events",
+        "exact_devices",
+        (off <= 4 * sketches.STANDARD_ERROR * F.col("exact_devices") + 1).alias("within"),
+    )
 
 
 @query
 def reconcile_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoices = views.invoices(spark, sf_dir)
-    return facts.reconcile_payments(invoices, views.payments_of(invoices))
+    return plain_money(facts.reconcile_payments(invoices, views.payments_of(invoices)))
 
 
 @query
 def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.reconcile_summary(reconcile_payments(spark, sf_dir))
+    invoices = views.invoices(spark, sf_dir)
+    return plain_money(facts.reconcile_summary(facts.reconcile_payments(invoices, views.payments_of(invoices))))
 
 
 @query
@@ -722,12 +823,12 @@ def connection_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def subscription_renewals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.subscription_renewals(views.invoices(spark, sf_dir), RENEW_UNTIL)
+    return plain_money(facts.subscription_renewals(views.invoices(spark, sf_dir), RENEW_UNTIL))
 
 
 @query
 def bills_with_renewals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.bills_with_renewals(views.invoices(spark, sf_dir), RENEW_UNTIL)
+    return plain_money(facts.bills_with_renewals(views.invoices(spark, sf_dir), RENEW_UNTIL))
 
 
 # Scalar functions

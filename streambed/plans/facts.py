@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from streambed.functions import business, moments
 from streambed.operators.joins import full_join_fan_out
+from streambed.plans.marts import TOTAL
 
 
 def device_logs_fact(logs: DataFrame) -> DataFrame:
@@ -36,8 +37,8 @@ def payment_fact(payments: DataFrame) -> DataFrame:
         "bill_id",
         "user_id",
         "payment_gateway",
-        F.col("trans_amount").cast("double").alias("trans_amount"),
-        F.col("partner_fee").cast("double").alias("partner_fee"),
+        "trans_amount",
+        "partner_fee",
         F.date_format("trans_time", "yyyy-MM-dd HH:mm:ss").alias("trans_time"),
         F.to_date("trans_time").cast("string").alias("trans_date"),
         "trans_status",
@@ -80,9 +81,9 @@ def reconcile_payments(bills: DataFrame, payments: DataFrame) -> DataFrame:
         F.coalesce("payment_gateway", F.lit("none")).alias("payment_gateway"),
         F.coalesce("bill_status", F.lit("none")).alias("bill_status"),
         F.coalesce("trans_status", F.lit("none")).alias("trans_status"),
-        F.col("billed_amount").cast("double").alias("billed_amount"),
-        F.col("trans_amount").cast("double").alias("paid_amount"),
-        F.col("partner_fee").cast("double").alias("partner_fee"),
+        "billed_amount",
+        F.col("trans_amount").alias("paid_amount"),
+        "partner_fee",
         outcome.alias("outcome"),
     )
 
@@ -90,14 +91,13 @@ def reconcile_payments(bills: DataFrame, payments: DataFrame) -> DataFrame:
 def reconcile_summary(reconciled: DataFrame) -> DataFrame:
     """Rows, amount and fee by gateway and outcome. A bill's amount counts once, however many payments
     of that gateway and outcome it has."""
-    cents = lambda column: F.col(column).cast("decimal(15,2)")
     per_bill = reconciled.groupBy("payment_gateway", "outcome", "bill_id").agg(
         F.count(F.lit(1)).alias("payments"),
-        F.max(cents("billed_amount")).alias("billed_amount"),
-        F.sum(cents("paid_amount")).alias("paid_amount"),
-        F.sum(cents("partner_fee")).alias("partner_fee"),
+        F.max("billed_amount").alias("billed_amount"),
+        F.sum("paid_amount").alias("paid_amount"),
+        F.sum("partner_fee").alias("partner_fee"),
     )
-    money = [F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("billed_amount", "paid_amount", "partner_fee")]
+    money = [F.coalesce(F.sum(c), F.lit(0)).cast(TOTAL).alias(c) for c in ("billed_amount", "paid_amount", "partner_fee")]
     return per_bill.groupBy("payment_gateway", "outcome").agg(F.sum("payments").alias("payments"), *money)
 
 
@@ -152,7 +152,7 @@ def subscription_renewals(bills: DataFrame, end_date: str) -> DataFrame:
         F.col("id").alias("first_bill_id"),
         "user_id",
         "device_id",
-        F.col("amount").cast("double").alias("amount"),
+        "amount",
         "plan_type",
         "start",
         "days",
@@ -176,7 +176,7 @@ def bills_with_renewals(bills: DataFrame, end_date: str) -> DataFrame:
         F.lit(0).alias("renewal_no"),
         "user_id",
         "device_id",
-        F.col("amount").cast("double").alias("amount"),
+        "amount",
         "plan_type",
         "status",
         moments.day_of_millis(F.col("updated_at")).cast("string").alias("bill_date"),

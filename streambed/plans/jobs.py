@@ -22,9 +22,11 @@ from streambed.sinks import silver_table as st
 from streambed.sinks.change_table import ChangeTable
 from streambed.sinks.silver_table import read_current
 from streambed.sources import lake, topics
+from streambed.streaming import files as file_streams
 from streambed.streaming.bronze import ALL_AVAILABLE, EVERY_TEN_MINUTES, start_bronze, start_quarantine
+from streambed.streaming.progress import ProgressLog
 from streambed.streaming.silver import start_silver
-from streambed.streaming.supervise import for_each_table, supervise
+from streambed.streaming.supervise import for_each_table, keep_running, supervise
 
 log = logging.getLogger(__name__)
 
@@ -101,6 +103,27 @@ def run_silver(
     return failures
 
 
+def run_files(
+    spark: SparkSession, root: str, continuous: bool = False, max_files: int | None = None, restarts: int = 3
+) -> dict:
+    """Take in the log and payment files that arrived below ``files/<kind>``: facts below ``facts``, broken
+    records below ``rejected``, read files moved to ``archive``. A stream that fails starts again."""
+
+    def starter(path: file_streams.FilePath):
+        def start():
+            stream = file_streams.arriving(spark, path, f"{root}/files/{path.name}", f"{root}/archive/{path.name}", max_files)
+            paths = [f"{root}/{part}/{path.name}" for part in ("facts", "rejected", "checkpoints/files")]
+            trigger = EVERY_TEN_MINUTES if continuous else ALL_AVAILABLE
+            return file_streams.start_files(stream, path, *paths, name=f"files_{path.name}", trigger=trigger)
+
+        return start
+
+    kinds = {path.name: path for path in (file_streams.LOGS, file_streams.PAYMENTS)}
+    there = {name: starter(path) for name, path in kinds.items() if lake.table_exists(spark, f"{root}/files/{name}")}
+    missing = {name: lake.MissingTable(f"{root}/files/{name}") for name in kinds if name not in there}
+    return missing | keep_running(spark, there, restarts)
+
+
 def run_fold(spark: SparkSession, root: str) -> dict:
     """Fold every silver table's changes into its next snapshot, beside running merges."""
     _, failures = for_each_table(schemas.TABLES, lambda name: change_table.fold(spark, silver_table(root, name)))
@@ -168,20 +191,22 @@ def run_check(spark: SparkSession, root: str, layer: str = "silver") -> dict:
 def main(argv: list[str] | None = None) -> None:
     """Run one job; the exit code is 1 if any table failed."""
     parser = argparse.ArgumentParser(description="change-data-capture lakehouse jobs")
-    parser.add_argument("job", choices=["bronze", "silver", "fold", "gold", "check"])
+    parser.add_argument("job", choices=["bronze", "silver", "fold", "files", "gold", "check"])
     parser.add_argument("--root", required=True, help="lake folder all executors can reach")
     parser.add_argument("--servers", default="localhost:9092", help="bronze: bootstrap servers")
     parser.add_argument("--prefix", default="cdc_data.public", help="bronze: topic name before the table")
     parser.add_argument("--avro-schema", action="append", default=[], metavar="TABLE=FILE", help="bronze")
     parser.add_argument("--max-offsets", type=int, help="bronze: most messages per micro-batch and table")
-    parser.add_argument("--max-files", type=int, help="silver: most bronze files per merge")
-    parser.add_argument("--continuous", action="store_true", help="silver: keep merging every ten minutes")
+    parser.add_argument("--max-files", type=int, help="silver, files: most files per batch")
+    parser.add_argument("--continuous", action="store_true", help="silver, files: keep going every ten minutes")
     parser.add_argument("--report-date", default=date.today().isoformat(), help="gold")
     parser.add_argument("--layer", choices=["bronze", "silver"], default="silver", help="check")
     args = parser.parse_args(argv)
 
     spark = build_session(f"streambed-{args.job}")
     failed: dict = {}
+    if args.job in ("bronze", "silver", "files"):
+        spark.streams.addListener(ProgressLog(spark, f"{args.root}/progress/{args.job}"))
     if args.job == "bronze":
         avro = {}
         for entry in args.avro_schema:
@@ -191,6 +216,8 @@ def main(argv: list[str] | None = None) -> None:
         failed = run_bronze(spark, args.root, args.servers, args.prefix, avro, max_offsets=args.max_offsets)
     elif args.job == "silver":
         failed = run_silver(spark, args.root, args.continuous, args.max_files)
+    elif args.job == "files":
+        failed = run_files(spark, args.root, args.continuous, args.max_files)
     elif args.job == "fold":
         failed = run_fold(spark, args.root)
     elif args.job == "gold":

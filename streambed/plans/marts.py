@@ -234,7 +234,7 @@ def monthly_revenue(bills: DataFrame) -> DataFrame:
         bill_columns(bills)
         .groupBy(month.alias("month"), "plan_type")
         .agg(
-            paid_amount().cast("double").alias("revenue"),
+            paid_amount().cast(TOTAL).alias("revenue"),
             F.count("bill_id").alias("bills"),
             F.count_if(F.col("bill_status") == "paid").alias("paid_bills"),
             F.count_distinct("bill_device_id").alias("devices"),
@@ -248,6 +248,6 @@ def bills_by_day(bills: DataFrame) -> DataFrame:
     return (
         bill_columns(bills)
         .groupBy(moments.day_of_millis(F.col("billed_at")).alias("bill_date"))
-        .agg(F.count(F.lit(1)).alias("bills"), F.sum("amount").cast("double").alias("amount"))
+        .agg(F.count(F.lit(1)).alias("bills"), F.sum("amount").cast(TOTAL).alias("amount"))
         .withColumn("bill_date", F.col("bill_date").cast("string"))
     )

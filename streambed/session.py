@@ -18,6 +18,12 @@ RUNTIME_CONF = {
 }
 
 
+# Folders are listed by so many tasks per core; Spark's own default, a task per folder, costs more than
+# the listing itself where a table has thousands of folders.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS_PER_CORE = 4
+
+
 def build_session(app_name: str, **conf: str) -> SparkSession:
     """A session for the jobs. Master, memory and shuffle width come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -31,6 +37,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if spark.conf.get(LISTING, None) is None:
+        spark.conf.set(LISTING, str(LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
     return spark
 
 

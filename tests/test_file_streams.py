@@ -1,0 +1,78 @@
+"""Files as streams: late, repeated and broken files."""
+
+import json
+import os
+
+import pytest
+
+from streambed.streaming import files as fs
+from streambed.streaming.bronze import ALL_AVAILABLE
+
+DAY = 86_400_000
+
+
+def log(event, day, **fields):
+    return {"event_id": event, "timestamp": day * DAY, "device_id": 1, "event_type": "heartbeat", **fields}
+
+
+def put(tmp_path, name, lines, folder="in/year=1970/month=01"):
+    path = tmp_path / folder
+    path.mkdir(parents=True, exist_ok=True)
+    (path / name).write_text("\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines) + "\n")
+
+
+def run(spark, tmp_path, path=fs.LOGS, archive=None):
+    stream = fs.arriving(spark, path, str(tmp_path / "in"), archive, max_files=1)
+    paths = [str(tmp_path / part) for part in ("facts", "rejected", "ck")]
+    fs.start_files(stream, path, *paths, name="files", trigger=ALL_AVAILABLE).awaitTermination()
+    return fs.read_facts(spark, path, paths[0]), spark.read.parquet(paths[1])
+
+
+def test_late_repeated_and_broken_files(spark, tmp_path):
+    put(tmp_path, "day5.json", [log("a", 5), log("b", 5), log("b", 5)])
+    found, rejected = run(spark, tmp_path)
+    assert sorted(r["event_id"] for r in found.collect()) == ["a", "b"] and rejected.count() == 0
+    put(tmp_path, "day5-again.json", [log("a", 5), log("b", 5), log("c", 5)])
+    put(tmp_path, "day2-late.json", [log("z", 2), "{broken", log("y", 2, fps="many")])
+    put(tmp_path, "no-key.json", [log(None, 5)])
+    found, rejected = run(spark, tmp_path)
+    assert sorted((str(r["event_id"]), r["event_date"]) for r in found.collect()) == [
+        ("None", "1970-01-06"), ("a", "1970-01-06"), ("b", "1970-01-06"), ("c", "1970-01-06"), ("z", "1970-01-03"),
+    ]
+    assert sorted(r["record"] for r in rejected.collect()) == sorted(["{broken", json.dumps(log("y", 2, fps="many"))])
+    assert all("day2-late" in r["_file"] for r in rejected.collect())
+    assert found.where("event_date = '1970-01-03'").inputFiles() and run(spark, tmp_path)[0].count() == 5
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    put(tmp_path, "one.json", [log("a", 1), "{broken"])
+    run(spark, tmp_path)
+    # The batch was written, but its end was not noted.
+    os.remove(tmp_path / "ck" / "commits" / "0")
+    if (tmp_path / "ck" / "commits" / ".0.crc").exists():
+        os.remove(tmp_path / "ck" / "commits" / ".0.crc")
+    found, rejected = run(spark, tmp_path)
+    assert found.count() == 1 and rejected.count() == 1
+
+
+def test_payments_and_their_archive(spark, tmp_path):
+    head = "partner_trans_id,bill_id,user_id,payment_gateway,trans_amount,partner_fee,trans_time,trans_status,bank_code"
+    good = "VNP_1,1,2,VNPay,10.50,0.12,2024-03-05 10:00:00,SUCCESS,BIDV"
+    put(tmp_path, "a.csv", [head, good, "VNP_2,2,2,VNPay,much,0.12,2024-03-05 10:00:00,SUCCESS,BIDV"], "in")
+    found, rejected = run(spark, tmp_path, fs.PAYMENTS, str(tmp_path / "done"))
+    row = found.first()
+    assert (row["partner_trans_id"], str(row["trans_amount"]), row["trans_date"]) == ("VNP_1", "10.50", "2024-03-05")
+    assert rejected.first()["record"].startswith("VNP_2")
+    put(tmp_path, "b.csv", [head, good, good.replace("VNP_1", "VNP_3")], "in")
+    run(spark, tmp_path, fs.PAYMENTS, str(tmp_path / "done"))
+    put(tmp_path, "c.csv", [head], "in")
+    found, _ = run(spark, tmp_path, fs.PAYMENTS, str(tmp_path / "done"))
+    assert found.count() == 2
+    archived = [f for _, _, files in os.walk(tmp_path / "done") for f in files]
+    assert "a.csv" in archived
+
+
+@pytest.mark.parametrize("path", [fs.LOGS, fs.PAYMENTS])
+def test_fact_rows_of_an_empty_batch(spark, path):
+    empty = spark.createDataFrame([], path.schema)
+    assert fs.new_facts(empty, None, path).count() == 0

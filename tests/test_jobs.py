@@ -118,3 +118,33 @@ def test_failed_tables_give_a_failing_exit(spark, tmp_path, monkeypatch):
         with pytest.raises(SystemExit) as stopped:
             jobs.main([job, "--root", str(tmp_path)])
         assert stopped.value.code == 1
+
+
+def test_files_job(spark, tmp_path):
+    root = str(tmp_path)
+    folder = tmp_path / "files" / "device_logs" / "year=1970" / "month=01"
+    folder.mkdir(parents=True)
+    log = {"event_id": "a", "timestamp": 5, "device_id": 1, "event_type": "heartbeat"}
+    (folder / "one.json").write_text(json.dumps(log) + "\n{broken\n")
+    assert set(jobs.run_files(spark, root)) == {"payments"}
+    (tmp_path / "files" / "payments").mkdir()
+    head = "partner_trans_id,bill_id,user_id,payment_gateway,trans_amount,partner_fee,trans_time,trans_status,bank_code"
+    line = "VNP_1,1,2,VNPay,10.50,0.12,2024-03-05 10:00:00,SUCCESS,BIDV"
+    (tmp_path / "files" / "payments" / "one.csv").write_text(f"{head}\n{line}\n")
+    assert jobs.run_files(spark, root) == {}
+    assert spark.read.parquet(f"{root}/facts/device_logs").count() == 1
+    assert spark.read.parquet(f"{root}/rejected/device_logs").count() == 1
+    assert spark.read.parquet(f"{root}/facts/payments").count() == 1
+
+
+def test_fold_job(spark, tmp_path):
+    from streambed.sinks import change_table
+    from tests.helpers import changes
+
+    root = str(tmp_path)
+    table = jobs.silver_table(root, "users")
+    for ts in (1, 2):
+        change_table.append_changes(spark, table, changes(spark, [(1, "c", ts)]))
+    assert jobs.run_fold(spark, root) == {}
+    assert change_table.finished(spark, table, "snapshots") == [2]
+    assert jobs.read_silver(spark, root, "users").count() == 1

@@ -4,7 +4,12 @@ The index is learned on a bounded sample: its neighbour graph is cut into parts
 with few edges between them, and a small network learns which parts a vector's neighbours lie in. It
 sends every vector to its most probable part and every query to as many parts as the sample needs for
 the wanted recall. Queries are compared with the vectors of their parts exactly, in blocks of bounded
-size, and the nearest are kept.
+size, and the nearest are kept. A query whose parts hold too few vectors is compared with all.
+
+The number of parts grows with the root of the table, so that routing and comparing grow alike. A sample
+tells MOST_PARTS parts apart: more parts come in two levels, each first part being cut again, in a task
+of its own, by a sample of its own vectors. Beyond MOST_PARTS squared parts (some 268 million vectors)
+the parts grow instead.
 
 Equal vectors are searched once: of their rows only the smallest ids can be in a result, as equal
 nearness goes to the smaller id.
@@ -13,11 +18,11 @@ nearness goes to the smaller id.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+import pickle
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +30,8 @@ from streambed.llm import common
 
 # Bound of the sample that the index learns from.
 SAMPLE = 4096
-# Vectors that a part should hold, and the most parts that the sample can tell apart.
-PART_ROWS = 2048
+# Parts are the root of the number of vectors divided by this; the most parts that a sample can tell apart.
+ROOT_SHARE = 4
 MOST_PARTS = 64
 # Neighbours in the sample's graph.
 DEGREE = 10
@@ -97,24 +102,38 @@ def balanced_parts(near: np.ndarray, parts: int, slack: float = 1.05, sweeps: in
 
 @dataclass
 class Router:
-    """A network with one hidden layer: the probability of each part, and how many parts to search."""
+    """A network with one hidden layer: the probability of each part, and how many parts to search.
+
+    With ``inner`` routers, one per part, the parts are those of all inner routers, one after the other.
+    """
 
     layers: list[np.ndarray]
     probes: int
+    inner: list[Router] | None = None
 
     @property
     def parts(self) -> int:
-        return len(self.layers[3])
+        return sum(r.parts for r in self.inner) if self.inner else len(self.layers[3])
 
     def log_odds(self, unit: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.layers
-        return np.maximum(unit @ w1 + b1, 0) @ w2 + b2
+        odds = np.maximum(unit @ w1 + b1, 0) @ w2 + b2
+        if not self.inner:
+            return odds
+        outer = _log_share(odds)
+        return np.concatenate([outer[:, k : k + 1] + _log_share(r.log_odds(unit)) for k, r in enumerate(self.inner)], axis=1)
 
     def ranked(self, unit: np.ndarray, count: int) -> np.ndarray:
         """The most probable parts of each row, the best first."""
         return np.argsort(-self.log_odds(unit), axis=1, kind="stable")[:, :count]
 
 
+def _log_share(odds: np.ndarray) -> np.ndarray:
+    """Log probabilities of a row's odds."""
+    odds = odds - odds.max(1, keepdims=True)
+    return odds - np.log(np.exp(odds).sum(1, keepdims=True))
+
+
 def _train(unit: np.ndarray, wanted: np.ndarray, seed: int = 5) -> list[np.ndarray]:
     """Adam on the cross entropy with each row's distribution over parts."""
     rng = np.random.default_rng(seed)
@@ -162,15 +181,20 @@ def learn(sample: np.ndarray, parts: int, k: int = 5, wanted: float = WANTED) ->
     np.add.at(votes, (np.arange(len(known))[:, None], label[near]), 1.0)
     votes[np.arange(len(known)), label] += 2.0
     router = Router(_train(known, votes / votes.sum(1, keepdims=True)), parts)
+    router.probes = needed_probes(router, unit, k, wanted)
+    return router
+
+
+def needed_probes(router: Router, unit: np.ndarray, k: int, wanted: float) -> int:
+    """The least number of parts in which ``wanted`` of the nearest others are, over the sample's last quarter."""
     home = router.ranked(unit, 1)[:, 0]
-    asked = np.arange(len(known), len(unit))
+    asked = np.arange(3 * len(unit) // 4, len(unit))
     cosines = unit[asked] @ unit.T
     cosines[np.arange(len(asked)), asked] = -np.inf
     true = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
     ranks = np.argsort(np.argsort(-router.log_odds(unit[asked]), axis=1, kind="stable"), axis=1)
     needed = np.sort(ranks[np.arange(len(asked))[:, None], home[true]].ravel())
-    router.probes = int(needed[math.ceil(wanted * len(needed)) - 1]) + 1
-    return router
+    return int(needed[math.ceil(wanted * len(needed)) - 1]) + 1
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -196,10 +220,6 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     return ids.select(F.sha2(F.to_json("vector"), 256).alias("key"), "vector", "ids")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
 @dataclass
 class Share:
     """How vectors of one length are searched: their router, their first part's number, parts searched."""
@@ -212,24 +232,45 @@ class Share:
 def shares(
     every: DataFrame, wanted: DataFrame, k: int, parts: int | None, probes: int | None, sample: int
 ) -> dict[int, Share]:
-    """By length of vectors: its share, if both tables hold such. One row per length reaches the driver,
-    and a sample of the lengths with more than one part."""
+    """By length of vectors: its share, if both tables hold such. One row per length reaches the driver, a
+    sample of the lengths with more than one part, and their inner routers, some 70 kB each."""
     size = F.size("vector")
     asked = {r.size for r in wanted.select(size.alias("size")).distinct().collect()}
     counts = every.groupBy(size.alias("size")).count().collect()
     out, first = {}, 0
     for length, total in sorted((r.size, r["count"]) for r in counts if r.size in asked):
-        number = parts or min(MOST_PARTS, math.ceil(total / PART_ROWS))
-        chosen = []
-        if number > 1:
-            own = every.where(size == length).orderBy(F.xxhash64("key"), "key")
-            chosen = own.limit(sample).select("vector").collect()
-        router = learn(np.array([row.vector for row in chosen], np.float64).reshape(-1, length), number, k)
+        number = parts or min(MOST_PARTS**2, math.ceil(math.sqrt(total) / ROOT_SHARE))
+        router = _learned(every.where(size == length), length, number, k, sample)
         out[length] = Share(router, first, min(probes or router.probes, router.parts))
         first += router.parts
     return out
 
 
+def _learned(own: DataFrame, length: int, number: int, k: int, sample: int) -> Router:
+    """The router of the vectors of one length, in two levels if there are more parts than a sample tells apart."""
+    chosen = []
+    if number > 1:
+        chosen = own.orderBy(F.xxhash64("key"), "key").limit(sample).select("vector").collect()
+    vectors = np.array([row.vector for row in chosen], np.float64).reshape(-1, length)
+    if number <= MOST_PARTS:
+        return learn(vectors, number, k)
+    outer = learn(vectors, math.ceil(math.sqrt(number)), k)
+    inner_parts = math.ceil(number / outer.parts)
+
+    def inner(rows: pd.DataFrame) -> pd.DataFrame:
+        router = learn(np.stack(rows["vector"].to_numpy()).astype(np.float64), inner_parts, k)
+        return pd.DataFrame({"part": [rows["part"].iat[0]], "router": [pickle.dumps(router)]})
+
+    # At most ``sample`` vectors of each first part meet in a task; the cut is made before the shuffle.
+    order = Window.partitionBy("part").orderBy(F.xxhash64("key"), "key")
+    routed = _routed(own, {length: Share(outer, 0, 1)}, True).withColumn("n", F.row_number().over(order))
+    learnt = routed.where(F.col("n") <= sample).select("part", "vector").groupBy("part")
+    found = {r.part: pickle.loads(r.router) for r in learnt.applyInPandas(inner, "part int, router binary").collect()}
+    outer.inner = [found.get(part) or learn(vectors[:0], 1) for part in range(len(outer.layers[3]))]
+    outer.probes = needed_probes(outer, _unit(vectors), k, WANTED)
+    return outer
+
+
 def _routed(rows: DataFrame, found: dict[int, Share], home: bool) -> DataFrame:
     """``rows`` with a share, once for their most probable part or for each that is searched, as column
     ``part``. Vectors of unlike lengths are in unlike parts."""
@@ -291,6 +332,24 @@ def compared(found: pd.DataFrame, asked: pd.DataFrame, keep: int) -> pd.DataFram
     return pd.DataFrame({name: pd.Series(out[name], dtype=kind) for name, kind in kinds.items()})
 
 
+def _compared(home: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query, score, ids): the nearest of each block of each searched part."""
+    out = common.written(asked, "routed_queries")
+    blocks, lots = _sizes(home, BLOCK_ROWS), _sizes(out, BLOCK_QUERIES)
+    dealt = lambda counts: F.pmod(F.xxhash64("key"), _by_part(counts)).cast("int")
+    found = home.withColumn("block", dealt(blocks)).withColumn("lot", F.explode(_numbers(_by_part(lots))))
+    asked = out.withColumn("lot", dealt(lots)).withColumn("block", F.explode(_numbers(_by_part(blocks))))
+
+    def compare(found: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        return compared(found, asked, k + 1)
+
+    return (
+        found.groupBy("part", "block", "lot")
+        .cogroup(asked.groupBy("part", "block", "lot"))
+        .applyInPandas(compare, "query string, score double, ids array<long>")
+    )
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -308,7 +367,8 @@ def nearest(
     leaves out takes no part, rows equal in both columns are one, rows of one id with different vectors
     are candidates and queries each. Vectors of each length are searched for themselves; a query has no
     rows if no candidate has its length. ``parts`` and ``probes``, for each length, default to what the data's size and the
-    sample's recall ask for; with one part the result is exact. No rows give no rows.
+    sample's recall ask for; with one part the result is exact. Other columns are left out, whatever they
+    are called. No rows give no rows.
     """
     rows = usable(vectors, id_col, vector_col)
     every = common.written(distinct_vectors(rows, k + 1), "vectors")
@@ -318,20 +378,16 @@ def nearest(
     searched = shares(every, wanted, k, parts, probes, sample)
 
     home = common.written(_routed(every, searched, True), "routed_vectors")
-    out = common.written(_routed(asked, searched, False), "routed_queries")
-    blocks, lots = _sizes(home, BLOCK_ROWS), _sizes(out, BLOCK_QUERIES)
-    dealt = lambda counts: F.pmod(F.xxhash64("key"), _by_part(counts)).cast("int")
-    found = home.withColumn("block", dealt(blocks)).withColumn("lot", F.explode(_numbers(_by_part(lots))))
-    asked = out.withColumn("lot", dealt(lots)).withColumn("block", F.explode(_numbers(_by_part(blocks))))
-
-    def compare(found: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        return compared(found, asked, k + 1)
-
-    near = (
-        found.groupBy("part", "block", "lot")
-        .cogroup(asked.groupBy("part", "block", "lot"))
-        .applyInPandas(compare, "query string, score double, ids array<long>")
-    )
+    near = common.written(_compared(home, _routed(asked, searched, False), k), "near")
+    # Of a query with fewer than k others in its parts, all parts are searched. Each id counts, its own not.
+    held = near.groupBy("query").agg(F.sum(F.size("ids")).alias("n"))
+    short = asked.join(held.where(F.col("n") > k), F.col("key") == F.col("query"), "left_anti")
+    whole = {length: replace(share, probes=share.router.parts) for length, share in searched.items()}
+    if any(share.probes < share.router.parts for share in searched.values()):
+        short = common.written(short, "short")
+        if not short.isEmpty():
+            known = near.join(short.select(F.col("key").alias("query")), "query", "left_anti")
+            near = known.unionByName(_compared(home, _routed(short, whole, False), k))
     each = near.select("query", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     # One more than asked for, as one may be the query itself.

@@ -87,11 +87,45 @@ def test_each_length_is_searched_for_itself(spark):
     asked = [r for r in rows if 5000 <= r[0] < 5040 or r[0] in (7, 9000, 9001, 9002)] + [(9999, [1.0, 2.0, 2.0, 2.0])]
     same = lambda v: [r for r in rows if len(r[1]) == len(v)]
     want = {i: plain(same(v), [(i, v)], 5)[0][1] for i, v in asked if len(same(v)) > 1}
-    found = ranked(n.nearest(frame(spark, rows), frame(spark, asked)))
+    found = ranked(n.nearest(frame(spark, rows), frame(spark, asked), parts=1))
     assert {i: [other for _, other in v] for i, v in found.items()} == {i: [other for _, other in v] for i, v in want.items()}
-    several = ranked(n.nearest(frame(spark, rows), frame(spark, asked), parts=6))
-    hits = sum(len({j for _, j in several[i]} & {j for _, j in pairs}) for i, pairs in want.items())
-    assert set(several) == set(want) and hits / sum(map(len, want.values())) >= 0.85
+    for options in ({}, {"parts": 6}):
+        several = ranked(n.nearest(frame(spark, rows), frame(spark, asked), **options))
+        hits = sum(len({j for _, j in several[i]} & {j for _, j in pairs}) for i, pairs in want.items())
+        assert set(several) == set(want) and hits / sum(map(len, want.values())) >= 0.9
+        assert all(len(several[i]) == len(pairs) for i, pairs in want.items())
+
+
+def test_parts_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(n, "MOST_PARTS", 6)
+    rng = np.random.default_rng(7)
+    rows = [(k, v.tolist()) for k, v in enumerate(clustered(rng, 4000))]
+    vectors = frame(spark, rows)
+    every = n.distinct_vectors(n.usable(vectors), 6)
+    share = n.shares(every, n.usable(vectors), 5, None, None, n.SAMPLE)[16]
+    assert len(share.router.inner) == 4 and share.router.parts == 16 and share.probes < 8
+    odds = share.router.log_odds(n._unit(np.array([v for _, v in rows[:50]])))
+    assert np.allclose(np.exp(odds).sum(1), 1)
+    asked = [r for r in rows if r[0] % 50 == 0]
+    found, want = ranked(n.nearest(vectors, frame(spark, asked))), dict(plain(rows, asked, 5))
+    hits = sum(len({i for _, i in found[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits / (5 * len(want)) >= 0.9
+
+
+def test_a_query_whose_parts_hold_too_few_is_compared_with_all(spark):
+    """Parts of few vectors and one probe: every query still gets its five."""
+    rng = np.random.default_rng(4)
+    rows = [(k, v.tolist()) for k, v in enumerate(clustered(rng, 600))]
+    found = ranked(n.nearest(frame(spark, rows), frame(spark, rows[::20]), parts=64, probes=1))
+    assert len(found) == 30 and all(len(v) == 5 for v in found.values())
+
+
+def test_the_index_spares_half_of_the_work_on_clustered_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, v.tolist()) for k, v in enumerate(clustered(rng, 3000))]
+    every = n.distinct_vectors(n.usable(frame(spark, rows)), 6)
+    share = n.shares(every, n.usable(frame(spark, rows)), 5, None, None, n.SAMPLE)[16]
+    assert share.router.parts == 14 and share.probes <= share.router.parts / 2
 
 
 @pytest.mark.parametrize("count", [0, 1, 3])

@@ -9,6 +9,7 @@ import argparse
 import logging
 import sys
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -125,9 +126,11 @@ def run_files(
 
 
 def run_fold(spark: SparkSession, root: str) -> dict:
-    """Fold every silver table's changes into its next snapshot, beside running merges."""
+    """Fold every silver table's changes into its next snapshot, beside running merges, and every mart's
+    exports into its current part."""
     _, failures = for_each_table(schemas.TABLES, lambda name: change_table.fold(spark, silver_table(root, name)))
-    return failures
+    _, more = for_each_table(schemas.MARTS, lambda name: fold_gold(spark, root, name))
+    return failures | more
 
 
 def read_silver(spark: SparkSession, root: str, name: str, required: bool = False) -> DataFrame:
@@ -148,14 +151,37 @@ def gold_marts(spark: SparkSession, root: str, report_date: str, as_of: str | No
     }
 
 
+def gold_runs(spark: SparkSession, root: str, name: str) -> list[int]:
+    """The numbers of a mart's exports."""
+    found = [child.partition("run=")[2] for child in lake.child_names(spark, f"{root}/gold/{name}")]
+    return [int(number) for number in found if number.isdigit()]
+
+
+def folded_gold(spark: SparkSession, root: str, name: str) -> list[int]:
+    """The numbers up to which a mart's exports have been folded."""
+    path = f"{root}/gold_current/{name}"
+    found = [int(number) for number in lake.child_names(spark, path) if number.isdigit()]
+    return [n for n in found if lake.path_exists(spark, f"{path}/{n:012d}/_SUCCESS")]
+
+
 def run_gold(
     spark: SparkSession, root: str, report_date: str, as_of: str | None = None, fmt: str = "json"
 ) -> dict[str, int]:
-    """Compute the three marts and append them to their exports; returns the row counts."""
-    return {
-        name: export_mart(contract.conform(mart, schemas.MARTS[name]), f"{root}/gold/{name}", fmt)
-        for name, mart in gold_marts(spark, root, report_date, as_of).items()
-    }
+    """Compute the three marts and export them, each run to a folder of its own; returns the row counts."""
+    counts = {}
+    for name, mart in gold_marts(spark, root, report_date, as_of).items():
+        run = max([0, *gold_runs(spark, root, name), *folded_gold(spark, root, name)]) + 1
+        counts[name] = export_mart(contract.conform(mart, schemas.MARTS[name]), f"{root}/gold/{name}/run={run:012d}", fmt)
+    return counts
+
+
+def gold_parts(spark: SparkSession, root: str, name: str, fmt: str = "json") -> list[DataFrame]:
+    """What a reader of a mart opens: the current part, and the exports since."""
+    schema, whole = schemas.MARTS[name], folded_gold(spark, root, name)
+    base = max(whole, default=0)
+    parts = [spark.read.schema(schema).parquet(f"{root}/gold_current/{name}/{base:012d}")] if base else []
+    since = [f"{root}/gold/{name}/run={n:012d}" for n in gold_runs(spark, root, name) if n > base]
+    return parts + ([spark.read.schema(schema).format(fmt).load(since)] if since else [])
 
 
 def read_gold(spark: SparkSession, root: str, name: str, fmt: str = "json") -> DataFrame:
@@ -164,11 +190,27 @@ def read_gold(spark: SparkSession, root: str, name: str, fmt: str = "json") -> D
     Rows of one run that share a key (a device's bills) are told apart by their other columns,
     so the row that stays does not depend on chance.
     """
-    exported = spark.read.schema(schemas.MARTS[name]).format(fmt).load(f"{root}/gold/{name}")
+    exported = reduce(DataFrame.unionByName, gold_parts(spark, root, name, fmt) or [spark.createDataFrame([], schemas.MARTS[name])])
     others = [c for c in exported.columns if c not in (*MART_KEYS[name], "updated_at")]
     return latest.keep_latest(exported, MART_KEYS[name], "updated_at", *others)
 
 
+def fold_gold(spark: SparkSession, root: str, name: str, fmt: str = "json") -> bool:
+    """Write a mart's current rows, in ranges of its key, so that readers open them and what comes after; the
+    exports stay as history. Whether there was anything new."""
+    runs, whole = gold_runs(spark, root, name), folded_gold(spark, root, name)
+    if max(runs, default=0) <= max(whole, default=0):
+        return False
+    path = f"{root}/gold_current/{name}"
+    rows = read_gold(spark, root, name, fmt)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(tasks, *MART_KEYS[name]).write.mode("overwrite").parquet(f"{path}/{max(runs):012d}")
+    for number in whole[:-1]:  # the last one stays for readers that have begun
+        folder, fs = lake.hadoop_path(spark, f"{path}/{number:012d}")
+        fs.delete(folder, True)
+    return True
+
+
 def run_check(spark: SparkSession, root: str, layer: str = "silver") -> dict:
     """Show what the tables of a layer hold."""
 

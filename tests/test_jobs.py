@@ -148,3 +148,29 @@ def test_fold_job(spark, tmp_path):
     assert jobs.run_fold(spark, root) == {}
     assert change_table.finished(spark, table, "snapshots") == [2]
     assert jobs.read_silver(spark, root, "users").count() == 1
+
+
+def test_many_runs_of_a_mart_are_read_in_two_parts(spark, tmp_path, monkeypatch):
+    """A hundred exports: the current part and the last run are all that a reader opens."""
+    root = str(tmp_path)
+    rows = lambda run: spark.createDataFrame(
+        [(k, f"u{k}", "e", 1, 1, 0, run, None, "SILVER", "monthly", f"2024-01-01 00:{run // 60:02d}:{run % 60:02d}") for k in range(run % 7 + 1)],
+        schemas.USER_360,
+    )
+    for run in range(1, 99):
+        rows(run).coalesce(1).write.json(f"{root}/gold/user_360/run={run:012d}")
+    want = sorted((r["user_id"], r["total_bills"]) for r in jobs.read_gold(spark, root, "user_360").collect())
+    assert jobs.fold_gold(spark, root, "user_360") and not jobs.fold_gold(spark, root, "user_360")
+    assert len(jobs.gold_parts(spark, root, "user_360")) == 1
+    assert sorted((r["user_id"], r["total_bills"]) for r in jobs.read_gold(spark, root, "user_360").collect()) == want
+    monkeypatch.setattr(jobs, "gold_marts", lambda *_: {"user_360": rows(99)})
+    assert jobs.run_gold(spark, root, "2024-01-01") == {"user_360": 99 % 7 + 1}
+    parts = jobs.gold_parts(spark, root, "user_360")
+    assert len(parts) == 2 and jobs.gold_runs(spark, root, "user_360")[-1] == 99
+    got = {r["user_id"]: r["total_bills"] for r in jobs.read_gold(spark, root, "user_360").collect()}
+    assert got == dict(want) | {0: 99, 1: 99}
+    jobs.fold_gold(spark, root, "user_360")
+    rows(100).coalesce(1).write.json(f"{root}/gold/user_360/run={100:012d}")
+    jobs.fold_gold(spark, root, "user_360")
+    assert jobs.folded_gold(spark, root, "user_360") == [99, 100]
+    assert jobs.read_gold(spark, root, "daily_executive_kpi").count() == 0

@@ -69,10 +69,9 @@ def test_random_passages_against_brute_force(spark):
 
 def test_query_against_brute_force(spark):
     read = lambda name: [tuple(r) for r in spark.read.parquet(f"{TINY}/{name}.parquet").collect()]
-    docs = [(r[0], r[1]) for r in read("documents")][::4]
+    docs = [(r[0], r[1]) for r in read("documents")]
     found = {(r.doc_id, r.item_id) for r in op4_decontaminate(spark, TINY).collect()}
-    own = {k for k, _ in docs}
-    assert {p for p in found if p[0] in own} == plain_overlaps(docs, read("benchmark")) and found
+    assert found == plain_overlaps(docs, read("benchmark")) and found
 
 
 ITEM = "the quick brown fox jumps over a lazy dog while seven wizards box with five jugs"

@@ -13,6 +13,7 @@ the data's; it lets every true hit pass, and the join decides.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ _HITS = pa.schema(
     ]
 )
 _HITS_SQL = "doc_id long, text_hash long, seed long, position long, first long, around binary"
-_SEEDS_SQL = "item_id long, item_words binary, seed long, position long"
+_SEEDS_SQL = "item_id long, item_size int, item_first long, item_around binary, seed long, position long"
 
 
 class _Hashes(dict):
@@ -97,7 +98,8 @@ def item_seeds(words: np.ndarray) -> list[tuple[int, int]]:
 
 
 def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, item_words, seed, position): items with equal words once, under the smallest id."""
+    """(item_id, item_size, item_first, item_around, seed, position): items with equal words once, under the
+    smallest id. Like a document's hit, each seed has only the words around it, from ``item_first`` on."""
     words_schema = pa.schema([("item_id", pa.int64()), ("item_words", pa.binary())])
 
     def tokenised(batches):
@@ -105,19 +107,22 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str
             found = [word_hashes(text.as_py()).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], schema=words_schema)
 
-    def seeded(batches):
+    def rows(batches):
         for batch in batches:
-            rows = [
-                (item_id, words, int(np.uint64(seed).astype(np.int64)), at)
-                for item_id, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for seed, at in item_seeds(np.frombuffer(words, np.uint64))
-            ]
-            for k in range(0, len(rows), common.OUT_ROWS):
-                ids, words, values, places = zip(*rows[k : k + common.OUT_ROWS])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(words, pa.binary()), pa.array(values), pa.array(places)],
-                    names=["item_id", "item_words", "seed", "position"],
-                )
+            for item_id, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = np.frombuffer(packed, np.uint64)
+                for seed, at in item_seeds(words):
+                    first = max(0, at - WINDOW)
+                    around = words[first : at + WINDOW + LEAST_WORDS].tobytes()
+                    yield item_id, len(words), first, around, int(np.uint64(seed).astype(np.int64)), at
+
+    def seeded(batches):
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        names = [part.split()[0] for part in _SEEDS_SQL.split(", ")]
+        each = rows(batches)
+        while found := list(islice(each, common.OUT_ROWS)):
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*found), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     own = common.small_batches(benchmark).select(
         F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")
@@ -171,17 +176,20 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _HITS)], schema=_HITS)
 
 
-def matched(doc: np.ndarray, first: int, at: int, item: np.ndarray, item_at: int) -> tuple[int, int, int] | None:
+def matched(
+    doc: np.ndarray, first: int, at: int, item: np.ndarray, item_at: int, item_first: int = 0, item_size: int | None = None
+) -> tuple[int, int, int] | None:
     """(start in the document, words, equal words) of what overlaps around a hit, or None.
 
-    ``doc`` holds the document's words from ``first`` on; its word ``at`` and the item's word
-    ``item_at`` begin the hit. Windows that begin up to a window before the hit are compared.
+    ``doc`` holds the document's words from ``first`` on, ``item`` those of an item of ``item_size`` words from
+    ``item_first`` on; the words ``at`` and ``item_at`` begin the hit. Windows that begin up to a window before
+    the hit are compared.
     """
-    size = WINDOW if len(item) >= WINDOW else len(item)
+    size = min(WINDOW, len(item) if item_size is None else item_size)
     least = MATCHES if size == WINDOW else size
     # Both sequences from the earliest place that they share.
-    back = min(at - first, item_at)
-    a, b = doc[at - first - back :], item[item_at - back :]
+    back = min(at - first, item_at - item_first)
+    a, b = doc[at - first - back :], item[item_at - item_first - back :]
     length = min(len(a), len(b))
     equal = (a[:length] == b[:length]).astype(np.int64)
     total = np.concatenate([[0], np.cumsum(equal)])
@@ -212,7 +220,7 @@ def overlaps(
     null; rows with equal id and text are one document. Other columns are left out.
     """
     items = common.written(benchmark_seeds(benchmark, item_id_col, item_text_col), "benchmark_seeds")
-    short = items.where(F.length("item_words") < 8 * WINDOW).limit(1).count() > 0
+    short = items.where(F.col("item_size") < WINDOW).limit(1).count() > 0
     hits = document_hits(docs, bits.table(items.select("seed")), short, id_col, text_col)
     pairs = hits.withColumnsRenamed({"seed": "own"}).join(
         items.withColumnsRenamed({"position": "item_position"}).hint("merge"), F.col("own") == F.col("seed")
@@ -225,10 +233,11 @@ def overlaps(
     def verify(batches):
         for batch in batches:
             found = []
-            for doc_id, text_hash, at, first, around, item_id, item, item_at in zip(
+            for doc_id, text_hash, at, first, around, item_id, size, item_first, item, item_at in zip(
                 *(column.to_pylist() for column in batch.columns)
             ):
-                found_at = matched(np.frombuffer(around, np.uint64), first, at, np.frombuffer(item, np.uint64), item_at)
+                near = np.frombuffer(around, np.uint64), first, at, np.frombuffer(item, np.uint64), item_at
+                found_at = matched(*near, item_first, size)
                 if found_at:
                     found.append((doc_id, text_hash, item_id, found_at[0], found_at[0] + found_at[1]))
             if found:
@@ -237,7 +246,7 @@ def overlaps(
                 )
 
     checked = pairs.select(
-        "doc_id", "text_hash", "position", "first", "around", "item_id", "item_words", "item_position"
+        "doc_id", "text_hash", "position", "first", "around", "item_id", "item_size", "item_first", "item_around", "item_position"
     ).mapInArrow(verify, "doc_id long, text_hash long, item_id long, start long, stop long")
     return checked.groupBy("doc_id", "text_hash", "item_id").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("hits")

@@ -130,9 +130,9 @@ def blocks(page: str) -> list[Block]:
 
     def flush() -> None:
         if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
-                linked = len(" ".join(entities.unescape("".join(links)).split()))
+                linked = len(" ".join("".join(links).split()))
                 _, evidence, node, depth = stack[-1]
                 heading = any(opened[h] for h in HEADINGS)
                 out.append(Block(text, node, depth, evidence, heading, linked))
@@ -145,6 +145,8 @@ def blocks(page: str) -> list[Block]:
 
     def say(text: str) -> None:
         if text:
+            # Each stretch between tags for itself: a reference does not reach over a tag.
+            text = entities.unescape(text)
             parts.append(text)
             if opened["a"]:
                 links.append(text)

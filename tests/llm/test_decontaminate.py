@@ -20,7 +20,8 @@ def test_masks_find_every_window_whichever_words_differ():
 
 
 def plain_overlaps(docs, items):
-    """(document, item) pairs that overlap, by comparing every window at every distance."""
+    """(document, item) pairs that overlap, by comparing all words, and every window at each distance at which
+    enough words are equal."""
     hashed = {}
     for item_id, text in items:
         words = d.word_hashes(text)
@@ -33,7 +34,9 @@ def plain_overlaps(docs, items):
         for key, item_id in hashed.items():
             item = np.frombuffer(key, np.uint64)
             size, least = (d.WINDOW, d.MATCHES) if len(item) >= d.WINDOW else (len(item), len(item))
-            for shift in range(-len(item), len(words)):
+            at, item_at = np.nonzero(words[:, None] == item[None, :])
+            shifts, equal = np.unique(at - item_at, return_counts=True)
+            for shift in shifts[equal >= least].tolist():
                 a, b = words[max(0, shift) :], item[max(0, -shift) :]
                 n = min(len(a), len(b))
                 if n >= size and np.convolve(a[:n] == b[:n], np.ones(size), "valid").max() >= least:
@@ -100,3 +103,13 @@ def test_long_texts_in_chunks(monkeypatch):
     for k, mask in enumerate(d.MASKS):
         parts = [d.seeds(words[at : at + 7 + mask[-1]], mask, k).tolist() for at in range(0, 200 - mask[-1], 7)]
         assert sum(parts, []) == whole[k]
+
+
+def test_a_long_item_is_written_in_proportion_to_its_words(spark):
+    text = " ".join(map(str, range(20_000)))
+    items = d.benchmark_seeds(spark.createDataFrame([(1, text)], "item_id long, text string"))
+    row = items.selectExpr("count(*) AS n", "max(length(item_around)) AS most", "sum(length(item_around)) AS whole").first()
+    assert row.n < 60_000 and row.most <= 8 * (2 * d.WINDOW + d.LEAST_WORDS) and row.whole < 20_000_000
+    docs = documents(spark, [(5, "x y z " + " ".join(map(str, range(9_000, 9_020))) + " end"), (6, "1 2 3 4 5 6 7 8")])
+    found = d.overlaps(docs, spark.createDataFrame([(1, text)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id) for r in found] == [(5, 1)] and found[0].start <= 3 and found[0].stop >= 23

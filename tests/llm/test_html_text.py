@@ -55,6 +55,7 @@ def test_layouts(name):
     [
         (None, ""), ("", ""), ("   ", ""), ("<p>", ""), ("<", ""), ("<nav>only</nav>", ""), ("<script>never closed", ""),
         ("<!-- never closed <p>x", ""),
+        (f"<article><p>AT&amp<b>;</b> and &l<i></i>t; {TEXT}</p></article>", f"AT&; and &lt; {TEXT.strip()}"),
         (f"<article><p>a &lt;b&gt; &amp; c&nbsp;d &#233;&eacute; 1 < 2 {TEXT}</p></article>", f"a <b> & c d éé 1 < 2 {TEXT.strip()}"),
         (f"<article><p>on<b>e</b> <i>two</i>\n\t three<br>four {TEXT}</article>", f"one two three four {TEXT.strip()}"),
         (f"<ARTICLE><P CLASS='x>y'>{TEXT}</P></ARTICLE>", TEXT.strip()),

@@ -83,10 +83,17 @@ def test_short_and_long_merging_agree(model):
             assert model.vocabulary.merge(word) == model.vocabulary._merge_long(word)
 
 
+def test_words_merged_together_are_merged_as_each_by_itself(model, monkeypatch):
+    draw = random.Random(13)
+    words = [bytes(draw.choice(b"aabbeinst \xc3\xa9\x00") for _ in range(draw.randint(1, 64))) for _ in range(2000)]
+    monkeypatch.setattr(bpe, "MERGED_TOGETHER", 300)
+    assert [ids(found) for found in model.vocabulary.merge_all(words)] == [model.vocabulary.merge(w) for w in words]
+
+
 def test_proposals_are_verified_and_only_failing_words_merged(model, monkeypatch):
     words = [w.encode() for w in "the quick brown fox outrageously unhappiness zwxqjk".split()]
     calls = []
-    monkeypatch.setattr(model.vocabulary, "merge", lambda word, f=model.vocabulary.merge: calls.append(word) or f(word))
+    monkeypatch.setattr(model.vocabulary, "merge_all", lambda some, f=model.vocabulary.merge_all: calls.extend(some) or f(some))
     found, merged = model.vocabulary.encode_words(words)
     assert merged == len(calls) < len(words)
     assert [ids(x) for x in found] == [bpe.Vocabulary.merge(model.vocabulary, w) for w in words]
@@ -96,6 +103,7 @@ def test_cut_texts_and_cleared_chunks_change_nothing(tokenizer, monkeypatch):
     monkeypatch.setattr(bpe.common.pieces, "__defaults__", (50,))
     monkeypatch.setattr(bpe, "GROUP_CHARS", 200)
     monkeypatch.setattr(bpe, "KEPT_CHUNKS", 20)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 20)
     monkeypatch.setattr(bpe, "KEPT_LENGTH", 6)
     model = bpe.Encoder(PATH)
     texts = [("ab  cd\n ef gh-ij some longerwords here " * 40).strip(), *ODD]

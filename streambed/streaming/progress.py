@@ -73,7 +73,8 @@ class ProgressLog(StreamingQueryListener):
 
 
 def read_progress(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(PROGRESS).json(folder)
+    """The table, each batch and end of a run once: an event may reach the listener more than once."""
+    return spark.read.schema(PROGRESS).json(folder).dropDuplicates(["kind", "run_id", "batch_id"])
 
 
 def summary(progress: DataFrame) -> DataFrame:

@@ -97,6 +97,15 @@ def test_progress_of_runs_and_restarts(spark, source, tmp_path):
     assert "run 0 batch 1" in rows.where("error IS NOT NULL").first()["error"]
 
 
+def test_an_event_that_comes_twice_counts_once(spark, tmp_path):
+    listener = progress.ProgressLog(spark, str(tmp_path / "progress"))
+    batch = ("batch", "k", "r", 0, "a", 4, 5, "[]", "[]", "[]", None, None)
+    for row in (batch, batch, ("end", "k", "r", *[None] * 9), ("end", "k", "r", *[None] * 9)):
+        listener._write(row)
+    rows = progress.read_progress(spark, str(tmp_path / "progress"))
+    assert rows.count() == 2 and progress.summary(rows).first()["runs"] == 1
+
+
 def test_lag_and_repeated_batches_in_the_summary(spark):
     row = lambda batch, at, rows, behind: ("batch", "k", "r", batch, at, rows, 5, "[]", "[]", "[]", behind, None)
     log = spark.createDataFrame([row(0, "a", 4, 9), row(1, "b", 7, 6), row(1, "c", 8, 2)], progress.PROGRESS)

@@ -352,6 +352,7 @@ SQL: dict[str, str] = {
     ),
     "user_360": USER_360_SQL,
     "mart_export": USER_360_SQL,
+    "folded_exports": USER_360_SQL,
     "device_performance": DEVICE_SQL,
     "contract_cast": DEVICE_SQL,
     "device_performance_latest": with_views(

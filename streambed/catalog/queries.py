@@ -13,7 +13,7 @@ from streambed import schemas
 from streambed.catalog import views
 from streambed.functions import business, moments, text, wire
 from streambed.operators import changelog, contract, edits, handover, latest, silver, versions
-from streambed.plans import facts, increments, marts, sketches
+from streambed.plans import facts, increments, jobs, marts, sketches
 from streambed.session import run_folder
 from streambed.sinks import change_table, numbered
 from streambed.sinks import files as file_sinks
@@ -674,6 +674,20 @@ def mart_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_money(spark.read.schema(schemas.USER_360).json(path))
 
 
+@query
+def folded_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user mart exported three times and folded after the second: read from the current part and the
+    last run."""
+    root = run_folder(spark, "folded_exports")
+    tables = views.users(spark, sf_dir), views.devices(spark, sf_dir), views.bills(spark, sf_dir)
+    for run, as_of in enumerate(("2024-01-30 00:00:00", "2024-01-31 00:00:00", AS_OF), 1):
+        mart = contract.conform(marts.user_360(*tables, as_of), schemas.USER_360)
+        file_sinks.export_mart(mart, f"{root}/gold/user_360/run={run:012d}")
+        if run == 2:
+            jobs.fold_gold(spark, root, "user_360")
+    return plain_money(jobs.read_gold(spark, root, "user_360"))
+
+
 @query
 def skip_empty_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart appended once with its rows and once empty: the second run adds nothing, not even a file."""

@@ -16,6 +16,8 @@ from streambed.operators.joins import left_join_fan_out
 
 MONEY = "decimal(15,2)"
 TOTAL = "decimal(38,2)"
+# Values of the join key that deals devices without an owner over the tasks.
+DEALT = 1024
 
 
 def run_time(as_of: str | None) -> Column:
@@ -123,8 +125,16 @@ def user_360(users: DataFrame, devices: DataFrame, bills: DataFrame, as_of: str
 
 
 def owned_devices(devices: DataFrame, users: DataFrame) -> DataFrame:
-    """Device rows with their owner; users are unique, so rows are kept one to one."""
-    return devices.join(user_columns(users), F.col("owner_id") == F.col("user_id"), "left")
+    """Device rows with their owner; users are unique, so rows are kept one to one.
+
+    Rows without an owner would all have one join key; a second key, which follows from the owner where
+    there is one, deals them over the tasks.
+    """
+    own, nobody = F.xxhash64("owner_id"), F.xxhash64(*devices.columns)
+    dealt = F.pmod(F.when(F.col("owner_id").isNull(), nobody).otherwise(own), F.lit(DEALT))
+    owners = user_columns(users).withColumn("_user_part", F.pmod(F.xxhash64("user_id"), F.lit(DEALT)))
+    same = (F.col("owner_id") == F.col("user_id")) & (F.col("_part") == F.col("_user_part"))
+    return devices.withColumn("_part", dealt).join(owners, same, "left").drop("_part", "_user_part")
 
 
 def device_mart_columns(as_of: str | None) -> list[Column]:

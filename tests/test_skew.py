@@ -174,3 +174,18 @@ def test_reconciliation_with_a_hot_bill(low_limits):
     outcomes = {r["outcome"]: r["n"] for r in got.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
     third = ROWS // 3
     assert outcomes == {"matched": ROWS - third + 1, "amount_mismatch": third - 1, "missing_payment": third - 1}
+
+
+def test_devices_without_an_owner_are_dealt_over_the_tasks(spark):
+    kept = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name) for name in kept}
+    try:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+        users, devices, _ = hot_lake(spark)
+        nobodys = marts.device_columns(devices.withColumn("owner_id", F.lit(None).cast("long")))
+        per_task = marts.owned_devices(nobodys, users).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in per_task) == ROWS and max(r["count"] for r in per_task) < ROWS / 3

@@ -62,6 +62,25 @@ def test_a_hot_key_is_cut_before_the_shuffle(spark, tmp_path):
     assert sorted((r["id"], r["n"]) for r in left) == [("b", -1), ("hot", 299)]
 
 
+def test_a_key_in_many_batches_is_cut_over_all_of_them(monkeypatch):
+    import pyarrow as pa
+
+    batches = [
+        pa.RecordBatch.from_pylist([{"id": str(k), "ts_ms": (7 * b) % 11, "seq": k, "n": b} for k in range(20)]) for b in range(22)
+    ]
+    want = {(str(k), 3) for k in range(20)}  # 10 is reached by batch 3 first, by 14 again
+    for limit in (keyed.GATHERED_BYTES, 2 * batches[0].nbytes + 1):
+        monkeypatch.setattr(keyed, "GATHERED_BYTES", limit)
+        left = pa.Table.from_batches(list(keyed.newest_per_batch(iter(batches)))).to_pylist()
+        best = {}
+        for row in left:
+            if row["id"] not in best or row["ts_ms"] > best[row["id"]]["ts_ms"]:
+                best[row["id"]] = row
+        assert {(k, r["n"]) for k, r in best.items()} == want
+        if limit > 1 << 20:
+            assert len(left) == 20
+
+
 def test_the_stream_feeds_a_change_table(spark, tmp_path):
     from streambed.streaming.silver import start_silver
 

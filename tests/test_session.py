@@ -49,3 +49,16 @@ def test_operators_run_in_utc_whatever_the_session_had(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         session.prepare(spark)
+
+
+def test_a_tasks_bytes_are_bounded_and_smaller_settings_stay(spark):
+    before = {key: spark.conf.get(key) for key in session.MOST_BYTES}
+    try:
+        for set_to, kept in (("128m", f"{16 << 20}b"), ("20k", "20k")):
+            for key in before:
+                spark.conf.set(key, set_to)
+            session.prepare(spark)
+            assert {spark.conf.get(key) for key in before} == {kept}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -121,19 +121,19 @@ def read_current(spark: SparkSession, table: ChangeTable) -> DataFrame:
 
 
 def append_changes(spark: SparkSession, table: ChangeTable, changes: DataFrame) -> None:
-    """Merge a change batch (bronze rows): one read of the batch, one write of its newest changes."""
-    batch = changes.persist()
-    try:
-        if batch.isEmpty():
-            return
-        schema = table.row_schema
-        if table.evolve:
-            schema = evolve.merge_schemas(stored_schema(spark, table), _added(evolve.observed_schema(batch), table.row_schema))
-        ops = (*changelog.WRITE_OPS, changelog.DELETE_OP)
-        newest = silver.newest_changes(batch, schema, table.pk, ops).select(*silver.silver_schema(schema).names)
-        newest.write.mode("overwrite").parquet(table.folder("changes", folders(spark, table)[0] + 1))
-    finally:
-        batch.unpersist()
+    """Merge a change batch (bronze rows): one write of its newest changes.
+
+    The batch is kept nowhere: a task reads what its files or offsets hold, not their rows' whole texts from a
+    cache. An evolving table reads it twice, first for its columns.
+    """
+    if changes.isEmpty():
+        return
+    schema = table.row_schema
+    if table.evolve:
+        schema = evolve.merge_schemas(stored_schema(spark, table), _added(evolve.observed_schema(changes), table.row_schema))
+    ops = (*changelog.WRITE_OPS, changelog.DELETE_OP)
+    newest = silver.newest_changes(changes, schema, table.pk, ops).select(*silver.silver_schema(schema).names)
+    newest.write.mode("overwrite").parquet(table.folder("changes", folders(spark, table)[0] + 1))
     if fold_is_due(spark, table):
         fold(spark, table)
 

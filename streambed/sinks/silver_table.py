@@ -70,19 +70,15 @@ def read_current(spark: SparkSession, table: SilverTable | ChangeTable) -> DataF
 
 
 def apply_changes(spark: SparkSession, table: SilverTable | ChangeTable, changes: DataFrame) -> None:
-    """Merge a change batch (bronze rows) into the table: one read of the batch, one write of the table, or
-    of the changes."""
+    """Merge a change batch (bronze rows) into the table: one write of the table, or of the changes. The batch
+    is kept nowhere."""
     if isinstance(table, ChangeTable):
         return change_table.append_changes(spark, table, changes)
-    batch = changes.persist()
-    try:
-        if batch.isEmpty():
-            return
-        merged = silver.merge_changes(read_rows(spark, table), batch, table.row_schema, table.pk)
-        # Of two writers at once the second finds its folder taken and fails; its stream tries again.
-        merged.write.mode("errorifexists").parquet(table.snapshot(max(_numbers(spark, table), default=0) + 1))
-    finally:
-        batch.unpersist()
+    if changes.isEmpty():
+        return
+    merged = silver.merge_changes(read_rows(spark, table), changes, table.row_schema, table.pk)
+    # Of two writers at once the second finds its folder taken and fails; its stream tries again.
+    merged.write.mode("errorifexists").parquet(table.snapshot(max(_numbers(spark, table), default=0) + 1))
     whole = finished(spark, table)
     for number in _numbers(spark, table):
         if number < whole[-1] and number not in whole[-2:]:

@@ -107,3 +107,12 @@ def test_rows_without_a_position_give_way_to_any_change(spark, tmp_path):
     start.write.parquet(table.folder("snapshots", 1))
     ct.append_changes(spark, table, changes(spark, [(1, "u", 0)]))
     assert names(ct.read_current(spark, table)) == {1: ["u@0"], 2: ["kept"]}
+
+
+def test_a_batch_is_kept_nowhere(spark, tmp_path, monkeypatch):
+    batch = changes(spark, [(k, "c", 1) for k in range(9)])
+    monkeypatch.setattr(type(batch), "persist", lambda *_: 1 / 0)
+    for n, options in enumerate(({}, {"evolve": True})):
+        table = make(tmp_path / str(n), **options)
+        ct.append_changes(spark, table, batch)
+        assert ct.read_current(spark, table).count() == 9

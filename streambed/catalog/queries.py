@@ -358,7 +358,8 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_per_key_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return change_output(latest.latest_per_key_agg(views.bill_bronze(spark, sf_dir), "id"))
+    # The aggregate sorts and shuffles whole rows, so it gets the columns of the result, not the images' texts.
+    return latest.latest_per_key_agg(change_output(views.bill_bronze(spark, sf_dir)), "id")
 
 
 @query

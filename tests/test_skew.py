@@ -189,3 +189,21 @@ def test_devices_without_an_owner_are_dealt_over_the_tasks(spark):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert sum(r["count"] for r in per_task) == ROWS and max(r["count"] for r in per_task) < ROWS / 3
+
+
+def test_the_aggregate_sorts_the_results_columns_only(spark, tmp_path):
+    from datetime import datetime
+
+    from streambed.catalog import queries, views
+
+    at = datetime(2024, 1, 2)
+    rows = {"orders": [(1, 5, "O", 10.0, at, "1-URGENT"), (2, 5, "F", 20.0, at, "5-LOW")],
+            "lineitem": [(1, 7, 8, n, 1.0, 30.0 + n, 0.0, 0.0, "N", "O", at) for n in (1, 2)]}
+    for name, data in rows.items():
+        spark.createDataFrame(data, views.TABLES[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = queries.latest_per_key_agg(spark, str(tmp_path))
+    newest = 2 * views.LINE_STEP + 7
+    assert sorted((r.id, r.op, r.seq, r.amount) for r in got.collect()) == [("1", "u", newest, 32.0), ("2", "r", 0, 20.0)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = next(line for line in plan.splitlines() if "max_by" in line)
+    assert not any(f"{image}#" in aggregate for image in ("before", "after", "source", "year"))
